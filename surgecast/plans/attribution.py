@@ -15,22 +15,24 @@ ATTRIBUTION_COLS = [
     "event_count_on_service_extra_traffic_scale", "event_count_on_service_extra_traffic_scale_smoothing_avg",
 ]
 
-ATTRIBUTION_SQL = ctes(
-    "watch_traffic", "service_traffic", "baseline",
-    extra={
-        "pe": "SELECT sport, id AS event_id, starttime, sum(cnt) AS event_count FROM watch_traffic GROUP BY sport, id, starttime",
-        "tot": "SELECT starttime, sum(cnt) AS coevent_count FROM watch_traffic GROUP BY starttime",
-        "sb": """SELECT date_trunc('minute', s.datetime) AS minute_ts, s.service_count, b.baseline_count
-                 FROM service_traffic s JOIN baseline b ON date_trunc('minute', s.datetime) = date_trunc('minute', b.ds)""",
-        "j": """SELECT pe.sport, pe.event_id, pe.starttime AS event_time, pe.event_count, tot.coevent_count,
-                       sb.service_count, sb.baseline_count,
-                       cast(pe.event_count AS double) / tot.coevent_count AS event_influence
-                FROM pe JOIN tot ON pe.starttime = tot.starttime
-                JOIN sb ON sb.minute_ts = date_trunc('minute', pe.starttime)""",
-        "k": """SELECT *, service_count * event_influence AS s1,
-                       greatest(service_count - baseline_count, 0.0) * event_influence AS s2 FROM j""",
-    },
-) + """
+ATTR_CTES = {
+    "pe": "SELECT sport, id AS event_id, starttime, sum(cnt) AS event_count FROM watch_traffic GROUP BY sport, id, starttime",
+    "tot": "SELECT starttime, sum(cnt) AS coevent_count FROM watch_traffic GROUP BY starttime",
+    "sb": """SELECT date_trunc('minute', s.datetime) AS minute_ts, s.service_count, b.baseline_count
+             FROM service_traffic s JOIN baseline b ON date_trunc('minute', s.datetime) = date_trunc('minute', b.ds)""",
+    "j": """SELECT pe.sport, pe.event_id, pe.starttime AS event_time, pe.event_count, tot.coevent_count,
+                   sb.service_count, sb.baseline_count,
+                   cast(pe.event_count AS double) / tot.coevent_count AS event_influence
+            FROM pe JOIN tot ON pe.starttime = tot.starttime
+            JOIN sb ON sb.minute_ts = date_trunc('minute', pe.starttime)""",
+    "k": """SELECT *, service_count * event_influence AS s1,
+                   greatest(service_count - baseline_count, 0.0) * event_influence AS s2 FROM j""",
+    "attributed": """SELECT k.*, CASE WHEN count(s2) OVER w = 6 THEN cast(sum(cast(s2 AS decimal(30,10))) OVER w AS double) / 6 END AS s2_avg
+            FROM k WINDOW w AS (PARTITION BY sport, event_id ORDER BY event_time ROWS BETWEEN 5 PRECEDING AND CURRENT ROW)""",
+}
+ATTR_VIEWS = ("watch_traffic", "service_traffic", "baseline")
+
+ATTRIBUTION_SQL = ctes(*ATTR_VIEWS, extra=ATTR_CTES) + """
 SELECT sport, event_id, event_time, cast(event_count AS bigint) AS event_count,
        cast(coevent_count AS bigint) AS coevent_count,
        cast(year(event_time) AS bigint) AS year, cast(month(event_time) AS bigint) AS month,
@@ -39,10 +41,8 @@ SELECT sport, event_id, event_time, cast(event_count AS bigint) AS event_count,
        round(service_count, 6) AS service_count, round(baseline_count, 6) AS baseline_count,
        round(event_influence, 6) AS event_influence, round(s1, 6) AS event_count_on_service_scale,
        round(s2, 6) AS event_count_on_service_extra_traffic_scale,
-       round(CASE WHEN count(s2) OVER w = 6 THEN cast(sum(cast(s2 AS decimal(30,10))) OVER w AS double) / 6 END, 6)
-         AS event_count_on_service_extra_traffic_scale_smoothing_avg
-FROM k
-WINDOW w AS (PARTITION BY sport, event_id ORDER BY event_time ROWS BETWEEN 5 PRECEDING AND CURRENT ROW)
+       round(s2_avg, 6) AS event_count_on_service_extra_traffic_scale_smoothing_avg
+FROM attributed
 """
 
 
