@@ -72,17 +72,12 @@ def within_horizon(df: DataFrame, prediction_date, days: float, ts: str = "date_
 def history_depth(df: DataFrame, days: int, ts: str = "date_utc") -> DataFrame:
     """FIL1: keep ``[max(ts) - days, max(ts)]``; a no-op when ``days <= 0``.
 
-    The maximum is a one-row aggregate joined to every row (broadcast of a
-    single row).
+    The maximum is a scalar subquery, evaluated once.
     """
     if days <= 0:
         return df
-    mx = df.agg(F.max(ts).alias("_max_ts"))
-    return (
-        df.join(F.broadcast(mx), how="cross")
-        .where(F.col(ts) >= F.col("_max_ts") - F.make_dt_interval(days=F.lit(days)))
-        .drop("_max_ts")
-    )
+    mx = df.agg(F.max(ts)).scalar()
+    return df.where(F.col(ts) >= mx - F.make_dt_interval(days=F.lit(days)))
 
 
 def valid_periods(periods: Iterable[Sequence]) -> list[tuple]:

@@ -80,13 +80,11 @@ def attribute_traffic(
     service_baseline: DataFrame,
     *,
     smoothing_rows: int = 6,
-    across_events: bool = False,
 ) -> DataFrame:
     """JON3 + PRJ1 + PRJ5-7 + WIN1: event traffic on the service scale.
 
-    ``across_events=True`` reproduces the reference's trailing mean that runs
-    over consecutive rows of different events (one global order); the default
-    smooths within each event.
+    The trailing mean runs within each event (the reference's frame runs on
+    across consecutive events; a global frame would put every row in one task).
     """
     joined = coevents.withColumn("minute_ts", F.date_trunc("minute", "starttime")).join(
         service_baseline, "minute_ts"
@@ -102,8 +100,7 @@ def attribute_traffic(
             ),
         }
     )
-    order = ["event_id", "event_time"]
-    w = (Window.orderBy(*order) if across_events else Window.partitionBy("sport", "event_id").orderBy("event_time"))
+    w = Window.partitionBy("sport", "event_id").orderBy("event_time")
     frame = w.rowsBetween(-(smoothing_rows - 1), 0)
     target = F.col("event_count_on_service_extra_traffic_scale")
     out = out.withColumn(

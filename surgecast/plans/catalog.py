@@ -9,6 +9,7 @@ from surgecast.plans.registry import REGISTRY, Query
 MODULES = [
     "surgecast.plans.attribution",
     "surgecast.plans.events",
+    "surgecast.plans.enrichment",
 ]
 
 
