@@ -10,6 +10,7 @@ MODULES = [
     "surgecast.plans.attribution",
     "surgecast.plans.events",
     "surgecast.plans.enrichment",
+    "surgecast.plans.series_q",
 ]
 
 

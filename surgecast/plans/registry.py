@@ -28,13 +28,49 @@ class Query:
 REGISTRY: dict[str, Query] = {}
 
 
+def decimal_round(sql: str, digits: int = 6) -> str:
+    """Rewrite ``round(x, 6)`` in oracle SQL to round the shortest decimal text.
+
+    Spark rounds a double half-up on its shortest decimal text; DuckDB rounds
+    the binary value. Near decimal ties (sums divided by 2^k) they part;
+    rounding DuckDB's shortest text through a decimal gives Spark's rule.
+    """
+    key = "round("
+    out, i = [], 0
+    while True:
+        j = sql.find(key, i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        if j > 0 and (sql[j - 1].isalnum() or sql[j - 1] == "_"):
+            out.append(sql[i : j + len(key)])
+            i = j + len(key)
+            continue
+        depth, k = 1, j + len(key)
+        while depth and k < len(sql):
+            depth += {"(": 1, ")": -1}.get(sql[k], 0)
+            k += 1
+        inner = sql[j + len(key) : k - 1]
+        tail = f", {digits}"
+        if inner.rstrip().endswith(tail):
+            arg = decimal_round(inner.rstrip()[: -len(tail)], digits)
+            x = f"cast({arg} AS double)"
+            out.append(
+                sql[i:j] + f"(CASE WHEN isfinite({x}) THEN cast(round(cast(cast({x} AS varchar) AS "
+                f"decimal(38,18)), {digits}) AS double) ELSE {x} END)"
+            )
+        else:
+            out.append(sql[i:j] + key + decimal_round(inner, digits) + ")")
+        i = k
+
+
 def query(name: str, *, ops: tuple[str, ...] | list[str] = (), sql: str | None = None):
     """Decorator registering a Spark query and (optionally) its oracle SQL."""
 
     def wrap(fn: QueryFn) -> QueryFn:
         if name in REGISTRY:
             raise ValueError(f"duplicate query {name}")
-        REGISTRY[name] = Query(name, fn, sql, tuple(ops))
+        REGISTRY[name] = Query(name, fn, decimal_round(sql) if sql else None, tuple(ops))
         return fn
 
     return wrap
