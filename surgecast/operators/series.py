@@ -83,17 +83,26 @@ def with_distribution_features(df: DataFrame, keys: Keys, cols: Sequence[str], q
     Median and quantile are exact per-series aggregates joined back to rows
     (one row per series: broadcast).
     """
-    aggs = []
-    for c in cols:
-        aggs += [F.median(c).alias(f"_med_{c}"), F.percentile(c, q).alias(f"_q_{c}")]
-    stats = df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs)
-    joined = df.join(F.broadcast(stats), list(keys)) if keys else df.join(F.broadcast(stats), how="inner")
+    if keys:
+        aggs = []
+        for c in cols:
+            aggs += [F.median(c).alias(f"_med_{c}"), F.percentile(c, q).alias(f"_q_{c}")]
+        stats = df.groupBy(*keys).agg(*aggs)
+        joined = df.join(F.broadcast(stats), list(keys))
+        med = {c: F.col(f"_med_{c}") for c in cols}
+        qq = {c: F.col(f"_q_{c}") for c in cols}
+    else:
+        # whole-frame statistics are scalar subqueries (merged into one scan by the optimizer)
+        joined = df
+        med = {c: df.agg(F.median(c)).scalar() for c in cols}
+        qq = {c: df.agg(F.percentile(c, q)).scalar() for c in cols}
     new = {}
     for c in cols:
-        new[f"{c}_diff_from_median"] = F.col(c) - F.col(f"_med_{c}")
-        new[f"{c}_more_quant_999"] = (F.col(c) > F.col(f"_q_{c}")).cast("int")
+        new[f"{c}_diff_from_median"] = F.col(c) - med[c]
+        new[f"{c}_more_quant_999"] = (F.col(c) > qq[c]).cast("int")
         new[f"{c}_log"] = F.log1p(c)
-    return joined.withColumns(new).drop(*[f"_med_{c}" for c in cols], *[f"_q_{c}" for c in cols])
+    out = joined.withColumns(new)
+    return out.drop(*[f"_med_{c}" for c in cols], *[f"_q_{c}" for c in cols]) if keys else out
 
 
 def align_metrics(

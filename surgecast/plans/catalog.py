@@ -11,6 +11,7 @@ MODULES = [
     "surgecast.plans.events",
     "surgecast.plans.enrichment",
     "surgecast.plans.series_q",
+    "surgecast.plans.features_q",
 ]
 
 

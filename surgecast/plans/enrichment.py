@@ -19,8 +19,8 @@ from surgecast.sources.tables import Tables
 MISSED_RANKS = {"Franklin Pierce": 63, "Stonehill": 57}
 
 # Test parameters over the driver's nation names.
-TEAM_MAPPING = {"UNITED STATES": "USA"}
-TWO_NAMES = {"USA": "UNITED STATES", "CHINA": "PRC"}
+TEAM_MAPPING = {"NATION_1": "NATION_ONE"}
+TWO_NAMES = {"NATION_ONE": "NATION_1", "NATION_2": "NATION_TWO"}
 
 
 def social_files(t: Tables):
@@ -46,15 +46,15 @@ def extended_rankings(t: Tables):
 
 
 RANKINGS_SQL = {
-    "r1": """SELECT CASE team_name WHEN 'UNITED STATES' THEN 'USA' ELSE team_name END AS team_name, year, league_rank
+    "r1": """SELECT CASE team_name WHEN 'NATION_1' THEN 'NATION_ONE' ELSE team_name END AS team_name, year, league_rank
              FROM rankings""",
     "r2": """SELECT * FROM r1 UNION ALL
              SELECT m.team_name, s.year, m.league_rank FROM (SELECT DISTINCT year FROM r1) s,
                (VALUES ('Franklin Pierce', 63), ('Stonehill', 57)) m(team_name, league_rank)
              WHERE NOT EXISTS (SELECT 1 FROM r1 WHERE r1.team_name = m.team_name AND r1.year = s.year)""",
     "r3": """SELECT * FROM r2 UNION ALL
-             SELECT CASE team_name WHEN 'USA' THEN 'UNITED STATES' WHEN 'CHINA' THEN 'PRC' END, year, league_rank
-             FROM r2 WHERE team_name IN ('USA', 'CHINA')""",
+             SELECT CASE team_name WHEN 'NATION_ONE' THEN 'NATION_1' WHEN 'NATION_2' THEN 'NATION_TWO' END, year, league_rank
+             FROM r2 WHERE team_name IN ('NATION_ONE', 'NATION_2')""",
 }
 
 

@@ -68,7 +68,7 @@ def event_grid_size(spark, sf_dir):
 
 
 EXCLUDED_PERIODS = [("2024-01-05 00:00:00", "2024-01-07 12:00:00"), ("2024-01-20", "2024-01-10"), ("2024-01-25",)]
-EXCLUDED_TEAMS = ["FRANCE", "GERMANY"]
+EXCLUDED_TEAMS = ["NATION_3", "NATION_7"]
 EXCLUDED_NETWORKS = ["AF", "RF"]
 CAL_COLS = "sport, id, name, date_utc, team_0_display_name, team_1_display_name"
 
@@ -84,8 +84,8 @@ CAL_COLS = "sport, id, name, date_utc, team_0_display_name, team_1_display_name"
          WHERE date_utc >= m - INTERVAL 20 DAY
            AND sport IN ('click', 'view', 'purchase')
            AND NOT coalesce(date_utc BETWEEN TIMESTAMP '2024-01-05 00:00:00' AND TIMESTAMP '2024-01-07 12:00:00', false)
-           AND NOT (coalesce(team_0_display_name IN ('FRANCE', 'GERMANY'), false)
-                    OR coalesce(team_1_display_name IN ('FRANCE', 'GERMANY'), false))
+           AND NOT (coalesce(team_0_display_name IN ('NATION_3', 'NATION_7'), false)
+                    OR coalesce(team_1_display_name IN ('NATION_3', 'NATION_7'), false))
            AND id NOT IN (SELECT event_id FROM bad)""",
 )
 def event_filters(spark, sf_dir):
