@@ -12,6 +12,7 @@ MODULES = [
     "surgecast.plans.enrichment",
     "surgecast.plans.series_q",
     "surgecast.plans.features_q",
+    "surgecast.plans.forecast_q",
 ]
 
 
