@@ -13,6 +13,7 @@ MODULES = [
     "surgecast.plans.series_q",
     "surgecast.plans.features_q",
     "surgecast.plans.forecast_q",
+    "surgecast.plans.anomaly_q",
 ]
 
 
