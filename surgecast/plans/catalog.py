@@ -14,6 +14,7 @@ MODULES = [
     "surgecast.plans.features_q",
     "surgecast.plans.forecast_q",
     "surgecast.plans.anomaly_q",
+    "surgecast.plans.decide_q",
 ]
 
 

@@ -94,6 +94,8 @@ def finish(df: DataFrame, digits: int = 6) -> DataFrame:
             c = F.round(c.cast("double"), digits)
         elif isinstance(t, T.TimestampType):
             c = c.cast("timestamp_ntz")
+        elif isinstance(t, T.DateType):
+            c = c.cast("timestamp_ntz")
         elif isinstance(t, T.BooleanType):
             c = c.cast("bigint")
         cols.append(c.alias(f.name))
