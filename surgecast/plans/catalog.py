@@ -15,6 +15,7 @@ MODULES = [
     "surgecast.plans.forecast_q",
     "surgecast.plans.anomaly_q",
     "surgecast.plans.decide_q",
+    "surgecast.plans.io_q",
 ]
 
 
