@@ -16,6 +16,7 @@ MODULES = [
     "surgecast.plans.anomaly_q",
     "surgecast.plans.decide_q",
     "surgecast.plans.io_q",
+    "surgecast.plans.streaming_q",
 ]
 
 
