@@ -8,6 +8,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ColumnOrName = Column | str
 
@@ -82,7 +83,7 @@ def clean_keywords(kws: ColumnOrName) -> Column:
     return F.array_sort(F.array_distinct(F.filter(cleaned, lambda w: w != "")))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def strip_accents(s: pd.Series) -> pd.Series:
     """PRJ10: canonical decomposition, then combining marks U+0300-U+036F removed.
 

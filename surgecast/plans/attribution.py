@@ -46,7 +46,7 @@ FROM attributed
 """
 
 
-@query("attribution_extra_traffic", ops=("AGG1", "JON1", "AGG2", "JON2", "JON3", "PRJ1", "PRJ5", "PRJ6", "PRJ7", "WIN1"),
+@query("attribution_extra_traffic", ops=("AGG1", "JON1", "AGG2", "JON2", "JON3", "PRJ1", "PRJ5", "PRJ6", "PRJ7", "WIN1", "SRT1"),
        sql=ATTRIBUTION_SQL)
 def attribution_extra_traffic(spark, sf_dir):
     """Slice 0: extra service traffic attributable to each event, every sport."""

@@ -250,15 +250,19 @@ def tiered_throughput(spark, sf_dir):
     return finish(asof.tiered_union(tiers, ["series_id"], "ts", [0, 0, 300]))
 
 
-@query("asof_daily_partition", ops=("SRC4", "SRC5"), sql="""
+@query("asof_daily_partition", ops=("SRC4", "SRC5", "SNK4"), sql="""
 SELECT event_id, user_id, cast(cast(ts AS date) AS timestamp) AS day FROM events
 WHERE cast(ts AS date) = (SELECT max(cast(ts AS date)) FROM events
                           WHERE cast(ts AS date) <= DATE '2024-01-17' AND cast(ts AS date) > DATE '2024-01-14')""")
 def asof_daily_partition(spark, sf_dir):
     """Rows of the newest daily partition on or before a date (within a 3-day window)."""
+    from surgecast.sinks.files import scratch_path, write_dated
+
     t = Tables(spark, sf_dir)
     ev = t.events.select("event_id", "user_id", F.to_date("ts").alias("day"))
-    return finish(asof.asof_partition(ev, "day", "2024-01-17", min_exclusive="2024-01-14"))
+    root = write_dated(ev, scratch_path(spark, "daily"), date_col="day")
+    dated = spark.read.parquet(root)  # ``day`` is a partition column: the chosen folder alone is read
+    return finish(asof.asof_partition(dated, "day", "2024-01-17", min_exclusive="2024-01-14"))
 
 
 @query("gap_file_scan", ops=("SRC6", "WIN7"), sql=ctes("service_traffic", extra={

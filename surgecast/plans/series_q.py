@@ -106,7 +106,7 @@ ISLAND_SQL = ctes("anomaly_points", extra={
         FROM i GROUP BY series_id, isl"""
 
 
-@query("anomaly_islands", ops=("WIN4", "WIN8", "AGG10"), sql=ISLAND_SQL)
+@query("anomaly_islands", ops=("WIN4", "WIN8", "AGG10", "SRT1"), sql=ISLAND_SQL)
 def anomaly_islands(spark, sf_dir):
     """Periods of high values per series: a gap over 30 minutes starts a new period."""
     t = Tables(spark, sf_dir)
