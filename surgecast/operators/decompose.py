@@ -1,7 +1,10 @@
 """F4 forecasting operators on regular series (long form: keys, ts, value).
 
 Everything is windows, grouped aggregates and joins over the regular grid,
-so a series costs (span / grain) rows in one window partition at most; the
+and per-series tables (one row per series) are joined without a broadcast
+hint: their size grows with the number of series, so AQE decides from the
+measured size at run time (broadcast when small, sort-merge otherwise).
+A series costs (span / grain) rows in one window partition at most; the
 only Python is a per-series solve of tiny normal equations (one aggregated
 row per series) in ``applyInPandas``.
 
@@ -82,7 +85,7 @@ def boxcox_lambda(df: DataFrame, keys: Keys, value: str = "value", coarse: float
     grid1 = F.transform(F.sequence(F.lit(0), F.lit(n_coarse)), lambda k: F.round(k * coarse - 2, 6))
     best = _llf_pass(df, keys, value, grid1)
     n_fine = int(round(coarse / fine))
-    refined = df.join(F.broadcast(best.select(*keys, F.col("lmbda").alias("_l0"))), list(keys))
+    refined = df.join(best.select(*keys, F.col("lmbda").alias("_l0")), list(keys))
     grid2 = F.transform(
         F.sequence(F.lit(-n_fine), F.lit(n_fine)), lambda k: F.round(F.col("_l0") + k * fine, 9)
     )
@@ -92,7 +95,7 @@ def boxcox_lambda(df: DataFrame, keys: Keys, value: str = "value", coarse: float
 def boxcox_transform(df: DataFrame, keys: Keys, value: str = "value", out: str = "box_cox") -> DataFrame:
     """TS4: Box-Cox transformed column with the per-series lambda (``lmbda``)."""
     lam = boxcox_lambda(df, keys, value)
-    j = df.join(F.broadcast(lam.select(*keys, "lmbda")), list(keys))
+    j = df.join(lam.select(*keys, "lmbda"), list(keys))
     x = F.col(value).cast("double")
     return j.withColumn(out, F.when(x > 0, boxcox_expr(x, F.col("lmbda"))))
 
@@ -129,7 +132,7 @@ def decompose(
         F.regr_slope(F.when(in_back, F.col("_tr")), F.when(in_back, i)).alias("_k2"),
         F.regr_intercept(F.when(in_back, F.col("_tr")), F.when(in_back, i)).alias("_c2"),
     )
-    d = d.join(F.broadcast(fits), list(keys))
+    d = d.join(fits, list(keys))
     trend = (
         F.when(F.col("_i") < front, F.col("_k1") * i + F.col("_c1"))
         .when(F.col("_i") > back, F.col("_k2") * i + F.col("_c2"))
@@ -194,7 +197,7 @@ def weighted_polyfit(df: DataFrame, keys: Keys, x: Column, y: Column, degree: in
         ((F.max("_x") + F.min("_x")) / 2).alias("_xc"),
         F.greatest((F.max("_x") - F.min("_x")) / 2, F.lit(1e-12)).alias("_xs"),
     )
-    b = base.join(F.broadcast(scale), list(keys))
+    b = base.join(scale, list(keys))
     u = (F.col("_x") - F.col("_xc")) / F.col("_xs")
     w2 = F.col("_w") * F.col("_w")
     sums = b.groupBy(*keys).agg(
@@ -234,13 +237,13 @@ def trend_forecast(
             acc = acc * u + F.col(f"a{j}")
         return acc
 
-    rows = trend_rows.join(F.broadcast(fit1), kc).withColumn("_curve", curve(F.col("_i").cast("double")))
+    rows = trend_rows.join(fit1, kc).withColumn("_curve", curve(F.col("_i").cast("double")))
     last_curve = rows.where(F.col("_i") == F.col("_n") - 1).select(*kc, F.col("_curve").alias("_clast"), F.col("ts").alias("last_ts"), "_n")
-    rows = rows.join(F.broadcast(last_curve.drop("last_ts", "_n")), kc)
+    rows = rows.join(last_curve.drop("last_ts", "_n"), kc)
     weight = None if tau == -1 else F.exp(-F.pow(F.col("_clast") - F.col("_curve"), 2) / (2 * tau * tau))
     fit2 = weighted_polyfit(rows, kc, F.col("_curve"), F.col(trend), second_degree, weight)
-    fut = future_positions(last_curve, kc, horizon, step_seconds).join(F.broadcast(fit1), kc)
-    fut = fut.withColumn("_curve", curve(F.col("_j").cast("double"))).join(F.broadcast(fit2), kc)
+    fut = future_positions(last_curve, kc, horizon, step_seconds).join(fit1, kc)
+    fut = fut.withColumn("_curve", curve(F.col("_j").cast("double"))).join(fit2, kc)
     return fut.select(*kc, "ts", "_j", polyval(F.col("_curve"), second_degree).alias("trend_forecast"))
 
 

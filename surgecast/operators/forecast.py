@@ -96,9 +96,9 @@ def nrt_forecast(raw: DataFrame, keys: Keys, ts: str, value: str, cfg: ForecastC
     r2 = dc.ses_level(week, kc, "w_resid", cfg.span).withColumnRenamed("level", "r2")
     comp = (
         fut.join(tr.drop("ts"), [*kc, "_j"])
-        .join(F.broadcast(r1), kc)
-        .join(F.broadcast(r2), kc)
-        .join(F.broadcast(last.select(*kc, "lmbda")), kc)
+        .join(r1, kc)
+        .join(r2, kc)
+        .join(last.select(*kc, "lmbda"), kc)
     )
     total = F.col("s1") + F.col("s7") + F.col("trend_forecast") + F.col("r1") + F.col("r2")
     inv = dc.inv_boxcox_expr(total, F.col("lmbda"))

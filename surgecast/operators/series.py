@@ -81,14 +81,14 @@ def with_distribution_features(df: DataFrame, keys: Keys, cols: Sequence[str], q
     above the exact ``q`` quantile, linear interpolation) and ``<c>_log``.
 
     Median and quantile are exact per-series aggregates joined back to rows
-    (one row per series: broadcast).
+    (one row per series; AQE picks broadcast or sort-merge from its measured size).
     """
     if keys:
         aggs = []
         for c in cols:
             aggs += [F.median(c).alias(f"_med_{c}"), F.percentile(c, q).alias(f"_q_{c}")]
         stats = df.groupBy(*keys).agg(*aggs)
-        joined = df.join(F.broadcast(stats), list(keys))
+        joined = df.join(stats, list(keys))
         med = {c: F.col(f"_med_{c}") for c in cols}
         qq = {c: F.col(f"_q_{c}") for c in cols}
     else:
