@@ -13,7 +13,7 @@ from pyspark.sql.window import Window
 from surgecast.functions.scalar import clip_lower
 from surgecast.operators import decompose as dc
 from surgecast.operators import series as ser
-from surgecast.session import checkpoint_dir
+from surgecast.session import materialize
 
 Keys = Sequence[str]
 
@@ -61,15 +61,6 @@ def prepare_series(raw: DataFrame, keys: Keys, ts: str, value: str, cfg: Forecas
     return ser.centred_max(g, kc, "ts", "interp", cfg.smooth_points, out="smoothed_max").drop("_filled")
 
 
-def _cut(df: DataFrame, enabled: bool) -> DataFrame:
-    """Materialise ``df`` in the session's shared checkpoint folder (reliable
-    checkpoint, survives executor loss) so later stages start from it."""
-    if not enabled:
-        return df
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def nrt_forecast(raw: DataFrame, keys: Keys, ts: str, value: str, cfg: ForecastConfig, checkpoint: bool = True) -> DataFrame:
     """TS9: composed forecast ``keys, ts, forecast`` for the next ``horizon_points``.
 
@@ -78,12 +69,12 @@ def nrt_forecast(raw: DataFrame, keys: Keys, ts: str, value: str, cfg: ForecastC
     inverse Box-Cox. ``bad_inverse`` flags points whose inverse is undefined.
     """
     kc = list(keys)
-    prep = _cut(prepare_series(raw, kc, ts, value, cfg).select(*kc, "ts", "smoothed_max"), checkpoint)
+    prep = materialize(prepare_series(raw, kc, ts, value, cfg).select(*kc, "ts", "smoothed_max"), checkpoint)
     bc = dc.boxcox_transform(prep, kc, "smoothed_max", out="bc").where(F.col("bc").isNotNull())
-    bc = _cut(dc.with_index(bc, kc, "ts"), checkpoint)
+    bc = materialize(dc.with_index(bc, kc, "ts"), checkpoint)
     day, day_phase = dc.decompose(bc, kc, "bc", cfg.day_points, prefix="d_", indexed=True)
-    day = _cut(day, checkpoint)
-    day_phase = _cut(day_phase, checkpoint)
+    day = materialize(day, checkpoint)
+    day_phase = materialize(day_phase, checkpoint)
     week, week_phase = dc.decompose(day.select(*kc, "ts", "_i", "_n", "d_trend"), kc, "d_trend", cfg.week_points,
                                     prefix="w_", indexed=True)
     last = bc.where(F.col("_i") == F.col("_n") - 1).select(*kc, "_n", F.col("ts").alias("last_ts"), "lmbda")

@@ -206,7 +206,21 @@ def recommendation_adjustment(spark, sf_dir):
     return finish(d)
 
 
-@query("interval_expansion", ops=("GEN3", "SNK6", "SNK5", "PRJ21", "PRJ22"))
+EXPAND_SQL = ctes("series", extra={
+    "w": """SELECT series_id, cast(ts AS date) AS d, cast(ceil(value / 10) AS bigint) AS n_tasks FROM series
+            WHERE hour(ts) BETWEEN 18 AND 22""",
+    "orig": """SELECT series_id, series_id || '_' || strftime(d, '%Y-%m-%d') AS interval_id,
+                      cast(d AS timestamp) + INTERVAL 18 HOUR AS start_ds, cast(d AS timestamp) + INTERVAL 22 HOUR AS end_ds,
+                      max(n_tasks) AS n_tasks FROM w GROUP BY series_id, d""",
+    "adj": "SELECT interval_id, start_ds, end_ds, n_tasks + 3 AS n_tasks FROM orig WHERE series_id IN ('purchase', 'signup')",
+    "ex": "SELECT interval_id, n_tasks AS count, unnest(generate_series(start_ds, end_ds, INTERVAL 1 HOUR)) AS ts FROM orig",
+    "ei": "SELECT interval_id, n_tasks AS count, unnest(generate_series(start_ds, end_ds, INTERVAL 1 HOUR)) AS ts FROM adj",
+    "r": "SELECT * FROM ex WHERE interval_id NOT IN (SELECT interval_id FROM adj) UNION ALL SELECT * FROM ei"}) + """
+SELECT interval_id, cast(count AS bigint) AS count, ts, 'n_tasks' AS type,
+       interval_id || '_n_tasks_' || strftime(ts, '%Y-%m-%dT%H:%M:%S') || '_prod' AS id FROM r"""
+
+
+@query("interval_expansion", ops=("GEN3", "SNK6", "SNK5", "PRJ21", "PRJ22"), sql=EXPAND_SQL)
 def interval_expansion(spark, sf_dir):
     """Recommendations as hourly task rows; adjusted intervals replace theirs; keyed upsert."""
     t = Tables(spark, sf_dir)

@@ -131,8 +131,12 @@ FROM sp, st"""
 @query("encoded_features", ops=("AGG12", "FIL19", "ML1", "ML2", "ML3", "ML4", "PRJ17", "PRJ18", "JON7"), sql=_enc_sql())
 def encoded_features(spark, sf_dir):
     """One-hot league/weekday/hour class/media, multi-hot teams, scaled task count, split labels."""
+    from surgecast.session import materialize
+
     t = Tables(spark, sf_dir)
-    f = feature_frame(t)
+    # one row per calendar event; materialised once, then vocabularies, the
+    # validation start and the scaler statistics all read the checkpoint
+    f = materialize(feature_frame(t))
     labelled = f.where(F.col("y").isNotNull())
     cal_cut = f.where(F.col("date_utc") >= labelled.agg(F.min("date_utc")).scalar())
     vocab = fe.fit_vocabulary(cal_cut, ENC_COLS)

@@ -121,7 +121,9 @@ def recommendations_service_info(spark, sf_dir):
     return finish(r.select("interval_id", "service", "region", "account_id", "cluster_name", "model"))
 
 
-@query("accent_strip_documents", ops=("PRJ10",))
+@query("accent_strip_documents", ops=("PRJ10",), sql="""
+SELECT doc_id, lang, cast(length(strip_accents(text)) AS bigint) AS n_chars_plain, sha256(strip_accents(text)) AS plain_sha
+FROM documents""")
 def accent_strip_documents(spark, sf_dir):
     """Accents removed from whole document texts (canonical decomposition, marks dropped)."""
     t = Tables(spark, sf_dir)

@@ -61,3 +61,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
     return sc.getCheckpointDir() or current
+
+
+def materialize(df, enabled: bool = True):
+    """Reliable checkpoint of ``df`` in the shared checkpoint folder.
+
+    Cuts the lineage so later stages (and several actions on the same data)
+    start from the written result; it survives executor loss, unlike a local
+    checkpoint.
+    """
+    if not enabled:
+        return df
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
