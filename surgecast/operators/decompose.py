@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from surgecast.functions.scalar import exact_sum
+from surgecast.session import materialize
 
 Keys = Sequence[str]
 
@@ -219,7 +220,7 @@ def polyval(x: Column, degree: int) -> Column:
 
 def trend_forecast(
     trend_rows: DataFrame, keys: Keys, trend: str, horizon: int, step_seconds: int, *, degree: int = 2, tau: float = -1.0,
-    second_degree: int = 2,
+    second_degree: int = 2, materialized: bool = True,
 ) -> DataFrame:
     """TS7: ``keys, ts, trend_forecast`` for the next ``horizon`` points.
 
@@ -238,6 +239,8 @@ def trend_forecast(
         return acc
 
     rows = trend_rows.join(fit1, kc).withColumn("_curve", curve(F.col("_i").cast("double")))
+    if materialized:
+        rows = materialize(rows)
     last_curve = rows.where(F.col("_i") == F.col("_n") - 1).select(*kc, F.col("_curve").alias("_clast"), F.col("ts").alias("last_ts"), "_n")
     rows = rows.join(last_curve.drop("last_ts", "_n"), kc)
     weight = None if tau == -1 else F.exp(-F.pow(F.col("_clast") - F.col("_curve"), 2) / (2 * tau * tau))

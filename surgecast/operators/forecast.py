@@ -77,6 +77,7 @@ def nrt_forecast(raw: DataFrame, keys: Keys, ts: str, value: str, cfg: ForecastC
     day_phase = materialize(day_phase, checkpoint)
     week, week_phase = dc.decompose(day.select(*kc, "ts", "_i", "_n", "d_trend"), kc, "d_trend", cfg.week_points,
                                     prefix="w_", indexed=True)
+    week = materialize(week, checkpoint)
     last = bc.where(F.col("_i") == F.col("_n") - 1).select(*kc, "_n", F.col("ts").alias("last_ts"), "lmbda")
     fut = dc.future_positions(last.drop("lmbda"), kc, cfg.horizon_points, cfg.step_seconds)
     fut = dc.seasonal_forecast(fut, day_phase, kc, cfg.day_points, "s1")

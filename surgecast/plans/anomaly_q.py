@@ -12,6 +12,7 @@ from surgecast.plans.forecast_q import hourly_complete
 from surgecast.plans.oracle_views import ctes
 from surgecast.plans.registry import finish, query
 from surgecast.plans.series_q import aligned_metrics
+from surgecast.session import materialize
 from surgecast.sources.tables import Tables
 
 # The reference's (lag, threshold, influence) at 5-minute points, rescaled to the
@@ -20,7 +21,7 @@ HOURLY_ZSCORE = {"error_rate": (24, 5.0, 0.2), "cpu_util": (4, 4.0, 0.2), "respo
 
 
 def zscore_long(t: Tables):
-    al = aligned_metrics(t)
+    al = materialize(aligned_metrics(t))  # one row per hour; read by every metric below
     out = None
     for m, (lag, th, infl) in HOURLY_ZSCORE.items():
         part = an.smoothed_zscore(al.select(F.lit(m).alias("metric"), "datetime", F.col(m).alias("value")),
@@ -92,7 +93,8 @@ FOREST_FEATURES = ["traffic", "cpu_util", "error_rate", "response_time"]
 def forest_frame(t: Tables):
     al = aligned_metrics(t)
     f = ser.with_lags(al, [], "datetime", FOREST_FEATURES, 2)
-    return f.withColumns({"hour": F.hour("datetime"), "weekday": F.weekday("datetime")})
+    # read by the sampler, the scorer and the ESD detectors: computed once
+    return materialize(f.withColumns({"hour": F.hour("datetime"), "weekday": F.weekday("datetime")}))
 
 
 @query("forest_scores", ops=("ML9", "AGG9", "FIL14"))

@@ -63,7 +63,12 @@ def snapshot_latest(spark, sf_dir):
     s2 = fe.tag_snapshot(base.where(F.col("date_utc") < F.lit("2024-01-26").cast("timestamp")),
                          event_time="2024-01-20 00:00:00", service="svc0", **tags).withColumn("is_deleted", F.col("id") % 7 == 0)
     s3 = fe.tag_snapshot(base, event_time="2024-01-21 00:00:00", service="svc1", **tags)
-    latest = fe.latest_snapshot(s1.unionByName(s2).unionByName(s3), PRED_DATE, "svc0", "AFRICA")
+    from surgecast.sinks.files import append_snapshot, read_snapshots, scratch_path
+
+    root = scratch_path(spark, "feature-store")
+    for snap in (s1, s2, s3):
+        append_snapshot(snap, root)
+    latest = fe.latest_snapshot(read_snapshots(spark, root), PRED_DATE, "svc0", "AFRICA")
     train = latest.where(F.col("data_type") == "training")
     start_val = fe.validation_start(train, "date_utc", PRED_DATE, 10)
     out = latest.withColumns({

@@ -9,6 +9,7 @@ from surgecast.operators import forecast as fc
 from surgecast.operators import series as ser
 from surgecast.plans.oracle_views import ctes
 from surgecast.plans.registry import finish, query
+from surgecast.session import materialize
 from surgecast.sources.tables import Tables
 
 STEP = 3600
@@ -121,6 +122,7 @@ def trend_forecast_poly(spark, sf_dir):
     """Polynomial trend forecast of the daily trend (degree 2, then weighted degree 2 on the curve)."""
     t = Tables(spark, sf_dir)
     d, _ = dc.decompose(hourly_complete(t), ["series_id"], "value", DAY, prefix="d_", indexed=True)
+    d = materialize(d)
     tr = dc.trend_forecast(d, ["series_id"], "d_trend", HORIZON, STEP, degree=2, tau=50.0)
     return finish(tr.select("series_id", "ts", "trend_forecast"))
 

@@ -138,7 +138,9 @@ def model_train_predict(spark, sf_dir):
     from surgecast.plans.features_q import ENC_COLS, PRED_DATE
 
     t = Tables(spark, sf_dir)
-    f = feature_frame(t).where(F.col("y").isNotNull())
+    from surgecast.session import materialize
+
+    f = materialize(feature_frame(t).where(F.col("y").isNotNull()))
     vocab = fe.fit_vocabulary(f, ENC_COLS)
     f = fe.one_hot(f, vocab).withColumn("weight", F.coalesce(F.sqrt(F.greatest("y", F.lit(0.0))), F.lit(0.0)) + 1e-3)
     feats = [fe._name(c, v) for c, cats in vocab.items() for v in cats] + ["n_tasks"]

@@ -88,8 +88,10 @@ def _lag_sql() -> str:
 @query("metric_alignment_lags", ops=("JON10", "FIL15", "PRJ25", "AGG9", "WIN3", "PRJ2"), sql=_lag_sql())
 def metric_alignment_lags(spark, sf_dir):
     """Six metric series aligned by time, distribution features, 10 lags, hour and weekday."""
+    from surgecast.session import materialize
+
     t = Tables(spark, sf_dir)
-    al = aligned_metrics(t)
+    al = materialize(aligned_metrics(t))  # one row per hour; the 12 whole-frame statistics read it
     f = ser.with_distribution_features(al, [], METRICS)
     f = ser.with_lags(f, [], "datetime", METRICS, N_LAGS)
     f = f.withColumns({"hour": F.hour("datetime"), "weekday": F.weekday("datetime")})

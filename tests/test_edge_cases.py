@@ -95,3 +95,17 @@ def test_asof_partition_empty_when_none(spark):
 def test_decimal_round_rewrite_keeps_other_rounds():
     sql = decimal_round("SELECT round(a, 6), round(b, 2), ground(c, 6)")
     assert "round(b, 2)" in sql and "ground(c, 6)" in sql and "decimal(38,18)" in sql
+
+
+def test_exact_median_matches_builtin(spark):
+    import random
+
+    from surgecast.operators.metrics import exact_median
+
+    random.seed(1)
+    rows = [("a", float(random.randint(0, 50))) for _ in range(5001)] + [("b", random.random()) for _ in range(4000)]
+    rows += [("c", 1.0), ("c", 3.0)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r.g: r.median for r in exact_median(df, ["g"], F.col("v"), accuracy=100).collect()}
+    want = {r.g: r.m for r in df.groupBy("g").agg(F.median("v").alias("m")).collect()}
+    assert got == want
