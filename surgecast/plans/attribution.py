@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from surgecast.operators import traffic
 from surgecast.plans.oracle_views import ctes
