@@ -41,14 +41,18 @@ def interpolate_linear(df: DataFrame, keys: Keys, ts: str = "ts", value: str = "
     regular grid)."""
     out = out or value
     w = _w(keys, ts)
+    # Both neighbours come from running frames (unbounded preceding .. current
+    # row), which Spark evaluates incrementally; the next value uses the
+    # reversed order instead of an O(n^2) "current .. unbounded following" frame.
     before = w.rowsBetween(Window.unboundedPreceding, 0)
-    after = w.rowsBetween(0, Window.unboundedFollowing)
+    rev = (Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))).orderBy(F.col(ts).desc())
+    after = rev.rowsBetween(Window.unboundedPreceding, 0)
     t = F.unix_micros(F.col(ts).cast("timestamp"))
     has = F.col(value).isNotNull()
     pv = F.last(F.col(value), ignorenulls=True).over(before)
     pt = F.last(F.when(has, t), ignorenulls=True).over(before)
-    nv = F.first(F.col(value), ignorenulls=True).over(after)
-    nt = F.first(F.when(has, t), ignorenulls=True).over(after)
+    nv = F.last(F.col(value), ignorenulls=True).over(after)
+    nt = F.last(F.when(has, t), ignorenulls=True).over(after)
     frac = F.try_divide((t - pt).cast("double"), (nt - pt).cast("double"))
     filled = (
         F.when(has, F.col(value))
@@ -143,12 +147,13 @@ def first_last_valid(df: DataFrame, keys: Keys, ts: str, value: str) -> DataFram
 
 
 def fill_forward_backward(df: DataFrame, keys: Keys, ts: str, cols: Sequence[str]) -> DataFrame:
-    """WIN8: forward fill, then back fill the leading gap."""
+    """WIN8: forward fill, then back fill the leading gap (both running frames)."""
     w = _w(keys, ts)
     ff = w.rowsBetween(Window.unboundedPreceding, 0)
-    bf = w.rowsBetween(0, Window.unboundedFollowing)
+    rev = (Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))).orderBy(F.col(ts).desc())
+    bf = rev.rowsBetween(Window.unboundedPreceding, 0)
     return df.withColumns(
-        {c: F.coalesce(F.last(c, True).over(ff), F.first(c, True).over(bf)) for c in cols}
+        {c: F.coalesce(F.last(c, True).over(ff), F.last(c, True).over(bf)) for c in cols}
     )
 
 
