@@ -117,13 +117,61 @@ def ses_residual_level(spark, sf_dir):
     return finish(dc.ses_level(hourly_complete(t), ["series_id"], "value", 12))
 
 
-@query("trend_forecast_poly", ops=("TS7",))
+def _cramer3(prefix: str) -> str:
+    """Columns c0, c1, c2 solving [[s0,s1,s2],[s1,s2,s3],[s2,s3,s4]] c = [t0,t1,t2] (Cramer's rule)."""
+    def det(m):
+        return (f"(({m[0][0]}) * (({m[1][1]}) * ({m[2][2]}) - ({m[1][2]}) * ({m[2][1]}))"
+                f" - ({m[0][1]}) * (({m[1][0]}) * ({m[2][2]}) - ({m[1][2]}) * ({m[2][0]}))"
+                f" + ({m[0][2]}) * (({m[1][0]}) * ({m[2][1]}) - ({m[1][1]}) * ({m[2][0]})))")
+    a = [[f"{prefix}s{p + q}" for q in range(3)] for p in range(3)]
+    b = [f"{prefix}t{p}" for p in range(3)]
+    d = det(a)
+    cols = []
+    for j in range(3):
+        aj = [[b[i] if c == j else a[i][c] for c in range(3)] for i in range(3)]
+        cols.append(f"{det(aj)} / {d} AS {prefix}c{j}")
+    return ", ".join(cols)
+
+
+def _power_sums(prefix: str, u: str, y: str, w2: str) -> str:
+    return ", ".join([f"sum({w2} * pow({u}, {k})) AS {prefix}s{k}" for k in range(5)]
+                     + [f"sum({w2} * pow({u}, {k}) * {y}) AS {prefix}t{k}" for k in range(3)])
+
+
+TAU = 50.0
+TREND_SQL = ctes("series", extra={
+    **GRID_SQL, **decompose_sql("x", "value", DAY, "d_"),
+    "sc1": "SELECT series_id, (max(i) + min(i)) / 2.0 AS xc, greatest((max(i) - min(i)) / 2.0, 1e-12) AS xs FROM d_dec GROUP BY 1",
+    "f1s": f"""SELECT d.series_id, {_power_sums('a', '((d.i - sc1.xc) / sc1.xs)', 'd.trend', '1.0')}
+               FROM d_dec d JOIN sc1 USING (series_id) GROUP BY d.series_id""",
+    "f1": f"SELECT series_id, {_cramer3('a')} FROM f1s",
+    "cv": """SELECT d.series_id, d.i, d.n, d.ts, d.trend,
+                    ac0 + ac1 * ((d.i - xc) / xs) + ac2 * ((d.i - xc) / xs) * ((d.i - xc) / xs) AS curve
+             FROM d_dec d JOIN f1 USING (series_id) JOIN sc1 USING (series_id)""",
+    "cl": "SELECT series_id, max(n) AS n, arg_max(curve, i) AS clast, max(ts) AS last_ts FROM cv GROUP BY 1",
+    "sc2": "SELECT series_id, (max(curve) + min(curve)) / 2.0 AS vc, greatest((max(curve) - min(curve)) / 2.0, 1e-12) AS vs FROM cv GROUP BY 1",
+    "f2s": f"""SELECT cv.series_id,
+               {_power_sums('b', '((cv.curve - sc2.vc) / sc2.vs)', 'cv.trend',
+                            f'(exp(-pow(cl.clast - cv.curve, 2) / (2 * {TAU} * {TAU})) * exp(-pow(cl.clast - cv.curve, 2) / (2 * {TAU} * {TAU})))')}
+               FROM cv JOIN sc2 USING (series_id) JOIN cl USING (series_id) GROUP BY cv.series_id""",
+    "f2": f"SELECT series_id, {_cramer3('b')} FROM f2s",
+    "fut": f"SELECT series_id, n, last_ts, unnest(generate_series(n, n + {HORIZON - 1})) AS j FROM cl",
+    "fc": """SELECT fut.series_id, fut.last_ts + (fut.j - fut.n + 1) * INTERVAL 3600 SECOND AS ts,
+                    ac0 + ac1 * ((fut.j - xc) / xs) + ac2 * ((fut.j - xc) / xs) * ((fut.j - xc) / xs) AS fcurve
+             FROM fut JOIN f1 USING (series_id) JOIN sc1 USING (series_id)""",
+})
+TREND_SQL += """SELECT fc.series_id, fc.ts,
+       round(bc0 + bc1 * ((fcurve - vc) / vs) + bc2 * ((fcurve - vc) / vs) * ((fcurve - vc) / vs), 6) AS trend_forecast
+FROM fc JOIN f2 USING (series_id) JOIN sc2 USING (series_id)"""
+
+
+@query("trend_forecast_poly", ops=("TS7",), sql=TREND_SQL)
 def trend_forecast_poly(spark, sf_dir):
     """Polynomial trend forecast of the daily trend (degree 2, then weighted degree 2 on the curve)."""
     t = Tables(spark, sf_dir)
     d, _ = dc.decompose(hourly_complete(t), ["series_id"], "value", DAY, prefix="d_", indexed=True)
     d = materialize(d)
-    tr = dc.trend_forecast(d, ["series_id"], "d_trend", HORIZON, STEP, degree=2, tau=50.0)
+    tr = dc.trend_forecast(d, ["series_id"], "d_trend", HORIZON, STEP, degree=2, tau=TAU)
     return finish(tr.select("series_id", "ts", "trend_forecast"))
 
 
