@@ -59,8 +59,9 @@ def islands(
 
 
 def session_islands(points: DataFrame, keys: Sequence[str], ts: str = "ts", *, gap_seconds: int = 1800) -> DataFrame:
-    """WIN4, session-window form (also usable on streams). A gap of exactly
-    ``gap`` merges, as with the strict rule; the end is the last point."""
+    """WIN4, session-window form: the form streams use (state bounded by the
+    watermark). In batch it sorts each key's raw points in one task, so
+    :func:`islands` (bucketed) is the operator for large or skewed inputs."""
     w = F.session_window(F.col(ts), f"{gap_seconds} seconds")
     return points.groupBy(*keys, w.alias("s")).agg(
         F.min(F.col(ts).cast("timestamp")).alias("start_time"),

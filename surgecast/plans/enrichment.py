@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from surgecast.functions import text as tx
 from surgecast.functions.timeparts import hour_class, measurement_window, with_date_features
@@ -25,12 +24,15 @@ TWO_NAMES = {"NATION_ONE": "NATION_1", "NATION_2": "NATION_TWO"}
 
 
 def social_files(t: Tables):
-    """SRC8 input: per-date metric files; every row repeats its event's calendar time."""
+    """SRC8 input: per-date metric files; every row repeats its event's calendar time.
+
+    The first time per user is a partial aggregate joined back (a user with a
+    third of all rows costs one row per partition, not one task)."""
     ev = t.events.where(F.col("event_id") % 61 == 0)
-    first = F.date_trunc("minute", F.min("ts").over(Window.partitionBy("user_id")))
-    return ev.select(
+    first = ev.groupBy("user_id").agg(F.date_trunc("minute", F.min("ts")).alias("date_utc"))
+    return ev.join(first, "user_id").select(
         F.col("user_id").alias("id"),
-        first.alias("date_utc"),
+        "date_utc",
         F.get_json_object("props", "$.k").cast("double").alias("netbase_metric_impressions"),
         F.col("value").alias("netbase_metric_totalbuzz"),
         F.to_date("ts").alias("file_date"),

@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 from surgecast.plans.anomaly_q import HOURLY_ZSCORE, _zscore_sql
 from surgecast.plans.registry import finish, query
 from surgecast.plans.series_q import aligned_metrics
+from surgecast.session import prepare_session
 from surgecast.sinks.files import scratch_path
 from surgecast.sources.tables import Tables
 from surgecast.streaming import operators as st
 
 
 def events_stream(spark, sf_dir):
+    prepare_session(spark)  # UTC session clock: event times and window edges as in the batch queries
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
     return (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
             .option("maxFilesPerTrigger", 1).parquet(sf_dir))

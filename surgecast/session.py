@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -21,11 +22,42 @@ SQL_OPTIONS = {
 }
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable on executors (grouped pandas functions and
+    stateful streaming functions are pickled by module reference).
+
+    The package's ``.py`` files are zipped once per Spark application and
+    added with ``addPyFile``, which distributes them to every executor, as
+    ``--py-files`` would at submit time.
+    """
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    parent = os.path.dirname(pkg)
+    fd, path = tempfile.mkstemp(prefix="surgecast-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, parent))
+    sc.addPyFile(path)
+    _SHIPPED.add(app)
+
+
 def prepare_session(spark: SparkSession) -> SparkSession:
-    """Pin the options the operators need on an existing session."""
+    """Pin the options the operators need on an existing session and ship the
+    package to the executors."""
     for key, value in SQL_OPTIONS.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
+    ship_package(spark)
     return spark
 
 
