@@ -73,8 +73,7 @@ def nrt_forecast(raw: DataFrame, keys: Keys, ts: str, value: str, cfg: ForecastC
     bc = dc.boxcox_transform(prep, kc, "smoothed_max", out="bc").where(F.col("bc").isNotNull())
     bc = materialize(dc.with_index(bc, kc, "ts"), checkpoint)
     day, day_phase = dc.decompose(bc, kc, "bc", cfg.day_points, prefix="d_", indexed=True)
-    day = materialize(day, checkpoint)
-    day_phase = materialize(day_phase, checkpoint)
+    day = materialize(day, checkpoint)  # read by the weekly decomposition and the residual level
     week, week_phase = dc.decompose(day.select(*kc, "ts", "_i", "_n", "d_trend"), kc, "d_trend", cfg.week_points,
                                     prefix="w_", indexed=True)
     week = materialize(week, checkpoint)

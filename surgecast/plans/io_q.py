@@ -142,6 +142,7 @@ def model_train_predict(spark, sf_dir):
     vocab = fe.fit_vocabulary(f, ENC_COLS)
     f = fe.one_hot(f, vocab).withColumn("weight", F.coalesce(F.sqrt(F.greatest("y", F.lit(0.0))), F.lit(0.0)) + 1e-3)
     feats = [fe._name(c, v) for c, cats in vocab.items() for v in cats] + ["n_tasks"]
+    f = f.fillna(0, subset=["n_tasks"])  # no task count at that time: 0 (tree learners reject NaN; no row is dropped)
     f = f.withColumn("ds", F.col("date_utc"))
     split = F.col("date_utc") < F.lit(PRED_DATE).cast("timestamp")
     train, test = f.where(split), f.where(~split)
