@@ -19,6 +19,8 @@ from surgecast.session import get_session  # noqa: E402
 
 HEADLINE = [
     "attribution_extra_traffic",      # slice 0: AGG1, JON1, JON2/3, PRJ5-7, WIN1
+    "coevent_aggregate_form",         # JON1 as per-time aggregate + join (default)
+    "coevent_window_form",            # JON1 as window sum partitioned by time
     "event_target_max",               # GEN1, JON4, AGG3, JON5
     "anomaly_islands",                # WIN4
     "regression_metrics_by_model",    # AGG8

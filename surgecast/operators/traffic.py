@@ -39,14 +39,25 @@ def coevent_traffic(
     sport_col: str = "sport",
     ts_col: str = "starttime",
     count_col: str = "cnt",
+    method: str = "aggregate",
 ) -> DataFrame:
     """JON1 + AGG2: each event's count next to the total of all events at that time.
 
     Returns ``sport, event_id, starttime, event_count, coevent_count`` for the
     events of ``sports`` (all sports when None). The total includes every
-    sport, as in the reference's self-join on time.
+    sport, as in the reference's self-join on time. ``method="aggregate"``
+    (default) joins a per-time aggregate back; ``method="window"`` sums over a
+    window partitioned by time (one task per time slot: only for inputs
+    without hot time slots). The self-join form is not offered: it forms
+    every pair of events in a time slot.
     """
     per_event = watch.groupBy(sport_col, id_col, ts_col).agg(F.sum(count_col).alias("event_count"))
+    if method == "window":
+        with_total = per_event.withColumn("coevent_count", F.sum("event_count").over(Window.partitionBy(ts_col)))
+        events = with_total if sports is None else with_total.where(F.col(sport_col).isin(list(sports)))
+        return events.select(
+            F.col(sport_col).alias("sport"), F.col(id_col).alias("event_id"), F.col(ts_col).alias("starttime"),
+            "event_count", "coevent_count")
     totals = watch.groupBy(ts_col).agg(F.sum(count_col).alias("coevent_count"))
     events = per_event if sports is None else per_event.where(F.col(sport_col).isin(list(sports)))
     return events.join(totals, ts_col).select(

@@ -53,3 +53,23 @@ def attribution_extra_traffic(spark, sf_dir):
     watch = traffic.aggregate_watch_traffic(t.watch_traffic)
     out = traffic.event_traffic_attribution(watch, t.service_traffic, t.baseline)
     return finish(out.select(*ATTRIBUTION_COLS))
+
+
+COEVENT_SQL = ctes("watch_traffic", extra={k: ATTR_CTES[k] for k in ("pe", "tot")}) + """
+SELECT pe.sport, pe.event_id, pe.starttime, cast(pe.event_count AS bigint) AS event_count,
+       cast(tot.coevent_count AS bigint) AS coevent_count
+FROM pe JOIN tot ON pe.starttime = tot.starttime"""
+
+
+@query("coevent_window_form", ops=("JON1", "AGG2"), sql=COEVENT_SQL)
+def coevent_window_form(spark, sf_dir):
+    """Co-event totals as a window sum partitioned by time (the form SURVEY names for JON1)."""
+    t = Tables(spark, sf_dir)
+    return finish(traffic.coevent_traffic(traffic.aggregate_watch_traffic(t.watch_traffic), method="window"))
+
+
+@query("coevent_aggregate_form", ops=("JON1", "AGG2"), sql=COEVENT_SQL)
+def coevent_aggregate_form(spark, sf_dir):
+    """Co-event totals as a per-time aggregate joined back (the default, skew-safe form)."""
+    t = Tables(spark, sf_dir)
+    return finish(traffic.coevent_traffic(traffic.aggregate_watch_traffic(t.watch_traffic)))
