@@ -55,9 +55,20 @@ def read_snapshots(spark: SparkSession, root: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("string") for c in ("prediction_date", "service", "region") if c in df.columns})
 
 
+def _touch(spark: SparkSession, path: str) -> None:
+    """Create an empty marker file through Hadoop's FileSystem (any scheme)."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.create(jpath, True).close()
+
+
 def write_dated(df: DataFrame, root: str, date_col: str = "date", fmt: str = "parquet") -> str:
-    """SNK4: dated folders ``date=<d>`` replaced partition by partition; Spark
-    writes ``_SUCCESS`` when the job commits."""
+    """SNK4: dated folders ``date=<d>`` replaced partition by partition, each
+    with a ``_SUCCESS`` marker once the job has committed.
+
+    Dynamic partition overwrite commits through a staging folder, which does
+    not leave Spark's own marker in place, so the markers are written after
+    the commit (the dates of one write are a handful of values)."""
     spark = df.sparkSession
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
@@ -65,6 +76,9 @@ def write_dated(df: DataFrame, root: str, date_col: str = "date", fmt: str = "pa
         df.write.mode("overwrite").partitionBy(date_col).format(fmt).save(root)
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    for (d,) in df.select(F.col(date_col).cast("string")).distinct().collect():
+        _touch(spark, f"{root.rstrip('/')}/{date_col}={d}/_SUCCESS")
+    _touch(spark, f"{root.rstrip('/')}/_SUCCESS")
     return root
 
 
