@@ -145,3 +145,25 @@ def test_forest_independent_of_partitioning(spark):
     t1 = sorted(map(tuple, an.rcf_fit(df.repartition(1), ["a", "b"], n_trees=5, sample_size=64).collect()))
     t2 = sorted(map(tuple, an.rcf_fit(df.repartition(6), ["a", "b"], n_trees=5, sample_size=64).collect()))
     assert t1 == t2
+
+
+@pytest.mark.parametrize("op", ["zscore", "esd", "peaks"])
+def test_grouped_operators_independent_of_partitioning(spark, op):
+    random.seed(31)
+    vals = [10 + 2 * math.sin(2 * math.pi * i / 24) + random.gauss(0, 0.5) for i in range(24 * 5)]
+    vals[70] += 25
+    rows = []
+    for key in ["a", "b", "c"]:
+        rows += [(key, datetime(2024, 1, 1) + timedelta(hours=i), v + len(key)) for i, v in enumerate(vals)]
+    df = spark.createDataFrame(rows, "series_id string, ts timestamp, value double")
+
+    def run(d):
+        if op == "zscore":
+            out = an.smoothed_zscore(d, ["series_id"], "ts", "value", lag=12, threshold=3, influence=0.2)
+        elif op == "esd":
+            out = an.seasonal_esd(d, ["series_id"], "ts", "value", period=24, max_anoms=0.05)
+        else:
+            out = an.replace_peaks(d, ["series_id"], "ts", "value", threshold=20.0)
+        return sorted(map(tuple, out.collect()))
+
+    assert run(df.repartition(1)) == run(df.repartition(7, "ts").sortWithinPartitions(F.desc("ts")))
