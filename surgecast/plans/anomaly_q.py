@@ -11,6 +11,8 @@ from surgecast.plans.events import GRAIN, _attributed
 from surgecast.operators import islands as isl
 from surgecast.operators import series as ser
 from surgecast.plans.forecast_q import hourly_complete
+from surgecast.plans.attribution import ATTR_VIEWS
+from surgecast.plans.features_q import TARGET_CTES
 from surgecast.plans.oracle_views import ctes
 from surgecast.plans.registry import finish, query
 from surgecast.plans.series_q import aligned_metrics
@@ -77,7 +79,30 @@ def esd_anomalies(spark, sf_dir):
     return finish(an.seasonal_esd(hourly_complete(t), ["series_id"], "ts", "value", period=24, max_anoms=0.01))
 
 
-@query("peak_replacement", ops=("TS2",))
+PEAK_SQL = ctes(*ATTR_VIEWS, "calendar", extra={
+    **TARGET_CTES,
+    "ev": """SELECT c.sport, c.id, c.date_utc, p.tgt AS y FROM pe_max p JOIN calq c ON c.sport = p.sport AND c.id = p.id""",
+    "tg": "SELECT sport, date_utc, bool_or(y >= 20.0) AS peak, list(y) AS ys FROM ev GROUP BY sport, date_utc",
+    "tt": "SELECT *, row_number() OVER (PARTITION BY sport ORDER BY date_utc) AS k FROM tg",
+}).replace("WITH ", "WITH RECURSIVE ", 1) + """,
+r AS (
+  SELECT sport, k, CAST(NULL AS double) AS med, CASE WHEN peak THEN CAST([] AS double[]) ELSE ys END AS hist
+  FROM tt WHERE k = 1
+  UNION ALL
+  SELECT sport, k, med,
+         CASE WHEN peak THEN list_concat(hist0, list_resize(CAST([] AS double[]), len(ys), med)) ELSE list_concat(hist0, ys) END
+  FROM (
+    SELECT t.sport, t.k, t.peak, t.ys, r.hist AS hist0,
+           CASE WHEN t.peak THEN list_aggregate(r.hist, 'median') END AS med
+    FROM r JOIN tt t ON t.sport = r.sport AND t.k = r.k + 1) s
+)
+SELECT ev.sport, ev.id, ev.date_utc,
+       round(CASE WHEN t.peak THEN r.med ELSE ev.y END, 6) AS y
+FROM ev JOIN tt t ON t.sport = ev.sport AND t.date_utc = ev.date_utc
+JOIN r ON r.sport = t.sport AND r.k = t.k"""
+
+
+@query("peak_replacement", ops=("TS2",), sql=PEAK_SQL)
 def peak_replacement(spark, sf_dir):
     """Per sport, targets at or above the threshold replaced by the median of earlier targets."""
     t = Tables(spark, sf_dir)
