@@ -127,13 +127,15 @@ def decompose(
     i = F.col("_i").cast("double")
     in_front = (F.col("_i") >= front) & (F.col("_i") < front_last)
     in_back = (F.col("_i") >= back_first) & (F.col("_i") < back)
-    fits = d.groupBy(*keys).agg(
-        F.regr_slope(F.when(in_front, F.col("_tr")), F.when(in_front, i)).alias("_k1"),
-        F.regr_intercept(F.when(in_front, F.col("_tr")), F.when(in_front, i)).alias("_c1"),
-        F.regr_slope(F.when(in_back, F.col("_tr")), F.when(in_back, i)).alias("_k2"),
-        F.regr_intercept(F.when(in_back, F.col("_tr")), F.when(in_back, i)).alias("_c2"),
-    )
-    d = d.join(fits, list(keys))
+    # line fits as window aggregates over the series: the rows are already
+    # partitioned by series here, so this adds no shuffle and no join
+    ws = Window.partitionBy(*keys)
+    d = d.withColumns({
+        "_k1": F.regr_slope(F.when(in_front, F.col("_tr")), F.when(in_front, i)).over(ws),
+        "_c1": F.regr_intercept(F.when(in_front, F.col("_tr")), F.when(in_front, i)).over(ws),
+        "_k2": F.regr_slope(F.when(in_back, F.col("_tr")), F.when(in_back, i)).over(ws),
+        "_c2": F.regr_intercept(F.when(in_back, F.col("_tr")), F.when(in_back, i)).over(ws),
+    })
     trend = (
         F.when(F.col("_i") < front, F.col("_k1") * i + F.col("_c1"))
         .when(F.col("_i") > back, F.col("_k2") * i + F.col("_c2"))
