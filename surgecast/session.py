@@ -8,6 +8,7 @@ checkpoint directory the cluster already names.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import zipfile
 
@@ -80,15 +81,19 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8, app: str
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a scratch one only when unset.
+    """Return the shared checkpoint folder named in ``spark.checkpoint.dir``.
 
-    A cluster names a shared, durable folder in ``spark.checkpoint.dir``; that
-    value is always used. Only a bare local session (tests, bench) gets a
-    fresh scratch folder.
+    A cluster names a shared, durable folder there; that value is always used.
+    Only a session whose executors are threads of the driver (``local[n]``:
+    tests, bench) may do without; it gets a scratch folder. Any other session
+    without the setting is an error, since executors cannot share a folder of
+    the driver's machine.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         current = tempfile.mkdtemp(prefix="surgecast-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
