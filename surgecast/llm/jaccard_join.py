@@ -49,7 +49,7 @@ HOT, MAX_HOT = 32, 1 << 21
 #: Bits of the map of repeated shingles: 8 a shingle, but never more than this (16 MB).
 MAX_BITS = 1 << 27
 #: Members of one salted group, and rows of one block.
-GROUP, BLOCK = 2000, 512
+GROUP, BLOCK = 500, 512
 #: Pivot documents a region gets before its rest is joined in blocks.
 ROUNDS = 2
 #: Classes' copies are dealt over this many keys.
@@ -324,15 +324,16 @@ def block_links(rest: DataFrame, texts: DataFrame, k: int, percent: int) -> Data
     return rows.mapInArrow(_block_links(k, percent), "u long, v long")
 
 
-def links(docs: DataFrame, base: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """(u, v): links between nodes that join all nodes connected by links.
+def links(docs: DataFrame, base: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+    """(node, comp) of nodes joined by their first pivot, and (u, v): links that
+    join the rest.
 
     ``base``: the ``nodes`` of ``docs``.
     """
     spark = docs.sparkSession
     order = spark.sparkContext.broadcast(shingle_order(docs, k))
     member = materialize(memberships(docs, order, k, percent))
-    region = member.groupBy("s").agg(F.count("*").alias("size"), F.min("node").alias("p")).where("size > 1")
+    region = member.groupBy("s").agg(F.count("*").alias("size")).where("size > 1")
     member = materialize(member.join(region, "s"))
     sizes = base.where("node is not null").groupBy("node").agg(F.max("n").alias("n"), F.min("doc_id").alias("doc_id"))
 
@@ -343,8 +344,7 @@ def links(docs: DataFrame, base: DataFrame, k: int = SHINGLE, percent: int = PER
     least = F.greatest(F.lit(1), F.floor(F.least("na", "nb") / 16))
     fits = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
     pairs = materialize(pairs.where((F.col("shared") >= least) & fits).select("a", "b"))
-    star = member.where((F.col("size") > LARGE) & (F.col("node") != F.col("p"))).select("p", F.col("node").alias("x")).distinct()
-    star = materialize(star)
+    star = materialize(_pivots(member.where(F.col("size") > LARGE).select("s", "node")))
 
     used = pairs.select("a").union(pairs.select("b")).union(star.select("p")).union(star.select("x")).distinct().toDF("node")
     used = used.join(sizes, "node")
@@ -354,7 +354,7 @@ def links(docs: DataFrame, base: DataFrame, k: int = SHINGLE, percent: int = PER
     near = materialize(measure(first.union(star).distinct(), texts, k))
     is_link = linked(F.col("common"), F.col("n_p"), F.col("n_x"), percent)
     found = near.where(is_link).select(F.col("p").alias("u"), F.col("x").alias("v"))
-    comp = components(found)
+    comp = materialize(components(found))
 
     def label(df: DataFrame, c: str) -> DataFrame:
         out = df.join(comp.toDF(c, f"{c}_comp0"), c, "left")
@@ -363,23 +363,45 @@ def links(docs: DataFrame, base: DataFrame, k: int = SHINGLE, percent: int = PER
     # rest of the small regions
     rest = label(label(pairs.join(first.toDF("a", "b"), ["a", "b"], "left_anti"), "a"), "b").where("a_comp != b_comp")
     late = measure(rest.select(F.col("a").alias("p"), F.col("b").alias("x")), texts, k)
-    found = found.union(late.where(is_link).select("p", "x"))
+    found = late.where(is_link).select(F.col("p").alias("u"), F.col("x").alias("v"))
 
     # rest of the large regions: members with their distance to the pivot
     dist = 1 - F.col("common") / (F.col("n_p") + F.col("n_x") - F.col("common"))
     large = star.join(near, ["p", "x"]).select("p", "x", dist.alias("d"))
     large = large.union(star.select("p", F.col("p").alias("x"), F.lit(0.0)).distinct())
-    large = materialize(label(label(large, "x"), "p").select("p", "x", "d", F.col("x_comp").alias("comp"), (F.col("x_comp") != F.col("p_comp")).alias("active")))
+    large = label(label(large, "x"), "p").select("p", "x", "d", F.col("x_comp").alias("comp"), (F.col("x_comp") != F.col("p_comp")).alias("active"))
+    large = materialize(large)
     for _ in range(ROUNDS - 1):
         # a new pivot out of the rest of each region takes what it reaches
         pivot = large.where("active").groupBy("p").agg(F.min("x").alias("q"))
-        reach = large.join(pivot, "p").where("x != q").select(F.col("q").alias("p"), "x").distinct()
-        more = materialize(measure(reach, texts, k)).where(is_link).select(F.col("p").alias("u"), F.col("x").alias("v"))
-        found = materialize(found.union(more))
-        comp = components(found)
-        large = label(label(large.select("p", "x", "d"), "x"), "p")
-        large = materialize(large.select("p", "x", "d", F.col("x_comp").alias("comp"), (F.col("x_comp") != F.col("p_comp")).alias("active")))
-    return materialize(found.union(block_links(large, texts, k, percent)))
+        reach = materialize(large.join(pivot, "p").where("x != q").select("p", "q", "x"))
+        more = materialize(measure(reach.select(F.col("q").alias("p"), "x").distinct(), texts, k).where(is_link).select(F.col("p").alias("q"), "x"))
+        found = found.union(more)
+        joins = large.join(reach.join(more, ["q", "x"]).select("p", "x", F.lit(True).alias("hit")), ["p", "x"], "left").join(pivot, "p", "left")
+        joins = joins.withColumn("hit", F.coalesce("hit", F.col("x") == F.col("q"), F.lit(False)))
+        # components of this region that the new pivot joins to its own
+        reached = joins.where("hit").select("p", "comp", "active").distinct()
+        both = reached.groupBy("p").agg(F.min("active").alias("all_active")).where("not all_active").select("p", F.lit(True).alias("joined"))
+        done = reached.where("active").join(both, "p").select("p", "comp", "joined")
+        large = large.join(done, ["p", "comp"], "left").select("p", "x", "d", "comp", (F.col("active") & F.col("joined").isNull()).alias("active"))
+        large = materialize(large)
+    return comp, materialize(found.union(block_links(large, texts, k, percent)))
+
+
+def _pivots(large: DataFrame) -> DataFrame:
+    """(p, x): the members of large regions under their pivot document.
+
+    A region's pivot is the member in most large regions. Regions whose members
+    also stand under a higher pivot go to it, so overlapping regions of one
+    cluster become one; any such mapping of whole regions keeps each two
+    members of a region together.
+    """
+    degree = large.groupBy("node").agg(F.count("*").alias("deg"))
+    ranked = materialize(large.join(degree, "node").select("s", "node", F.struct("deg", "node").alias("rank")))
+    own = ranked.groupBy("s").agg(F.max("rank").alias("top"))
+    best = ranked.join(own, "s").groupBy("node").agg(F.max("top").alias("top"))
+    shared = large.join(best, "node").groupBy("s").agg(F.max("top").alias("top"))
+    return large.join(shared, "s").select(F.col("top.node").alias("p"), F.col("node").alias("x")).where("p != x").distinct()
 
 
 def _texts(docs: DataFrame, used: DataFrame, k: int) -> DataFrame:
@@ -410,10 +432,13 @@ def similar_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT
     spark = docs.sparkSession
     ship_package(spark)
     base = materialize(nodes(docs, k))
-    found = links(docs, base, k, percent)
-    comp = components(found)
+    first, found = links(docs, base, k, percent)
+    for end in ("u", "v"):  # the rest of the links, between components
+        found = found.join(first.toDF(end, "c"), end, "left").withColumn(end, F.coalesce("c", end)).drop("c")
+    last = components(found.select("u", "v")).toDF("comp", "last")
     classes = base.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("low"), F.count("*").alias("class_size"))
-    named = classes.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    named = classes.join(first, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    named = named.join(last, "comp", "left").withColumn("comp", F.coalesce("last", "comp")).drop("last")
     low = named.groupBy("comp").agg(F.min("low").alias("component_id"), F.count("*").alias("members"))
     named = named.join(low, "comp").where((F.col("class_size") > 1) | (F.col("members") > 1))
     named = named.select("node", "component_id", "class_size", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
