@@ -4,7 +4,8 @@ P(grade <= j | x) = sigmoid(t_j - w.x) with one weight vector over hashed text
 features and ordered thresholds t_0 < t_1 < ... The expected grade ranks
 documents; the tail probability P(grade >= g) selects them.
 
-Features of a text, as hashed presence: its words, its words' shapes (letters
+Features of a text, as hashed presence: its words, the first bytes of its
+words (for stems), its words' shapes (letters
 by case, digits, marks; repeats collapsed), and coarse measures of the whole
 text (share of distinct words, of immediate repeats, capitals and marks).
 """
@@ -24,10 +25,12 @@ from surgecast.llm import words
 from surgecast.session import ship_package
 
 #: Hash buckets, rows the model is fitted on at most, and passes over them.
-BUCKETS, TRAIN_ROWS, STEPS = 1 << 18, 12_000, 150
-#: A feature needs this many training texts.
-MIN_TEXTS = 4
-RATE, RIDGE = 0.15, 2e-6
+BUCKETS, TRAIN_ROWS, STEPS = 1 << 18, 10_000, 150
+#: A feature gets a weight if its chi-square with some grade is at least this.
+CHI_SQUARE = 40
+RATE, RIDGE = 0.05, 1e-6
+#: Bytes of the beginnings of words that are features.
+STEMS = (4, 5, 7)
 
 _SHAPE = np.arange(256, dtype=np.uint8)
 _SHAPE[65:91] = ord("A")
@@ -46,7 +49,8 @@ def features(col: pa.Array, buckets: int = BUCKETS) -> Iterator[np.ndarray]:
     buf, off = words.utf8(col)
     for a, z in words.chunks(off):
         part, o = buf[off[a] : off[z]], off[a : z + 1] - off[a]
-        h, ptr, _, _ = words.word_hashes(part, o, words.ALNUM)
+        h, ptr, starts, ends = words.word_hashes(part, o, words.ALNUM)
+        stems = words.span_hashes(words.LOWER[part], starts, *[np.minimum(ends, starts + k) for k in STEMS])
         shape = _SHAPE[part]
         keep = np.ones(len(shape), bool)
         keep[1:] = (shape[1:] != shape[:-1]) | words.NOT_SPACE[shape[1:]] & (shape[1:] != ord("A")) & (shape[1:] != ord("a")) & (shape[1:] != ord("0"))
@@ -65,7 +69,8 @@ def features(col: pa.Array, buckets: int = BUCKETS) -> Iterator[np.ndarray]:
             level = _level(np.array(shares)) + 32 * np.arange(len(shares))
             level = words.mix(level.astype(np.uint64) + np.uint64(1 << 40))
             shapes = words.mix(np.unique(g[gptr[i] : gptr[i + 1]]) + np.uint64(1))
-            yield np.unique((np.concatenate([w, shapes, level]) % np.uint64(buckets)).astype(np.int32))
+            begins = [words.mix(np.unique(x[s:e]) + np.uint64(2 + k)) for k, x in enumerate(stems)]
+            yield np.unique((np.concatenate([w, *begins, shapes, level]) % np.uint64(buckets)).astype(np.int32))
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -86,18 +91,31 @@ class Ordinal:
         return np.diff(full, axis=1)
 
 
+def chi_square(counts: np.ndarray, texts: np.ndarray) -> np.ndarray:
+    """Per feature, the largest chi-square of its presence with one grade against
+    the others. ``counts``: texts of each grade (rows) with the feature."""
+    n, out = texts.sum(), np.zeros(counts.shape[1])
+    having = counts.sum(0)
+    for g in range(len(texts)):
+        a = counts[g].astype(float)
+        b, c = having - a, texts[g] - a
+        d = n - texts[g] - b
+        bottom = (a + b) * (c + d) * (a + c) * (b + d)
+        out = np.maximum(out, np.where(bottom > 0, n * (a * d - b * c) ** 2 / np.maximum(bottom, 1), 0))
+    return out
+
+
 def fit(rows: list[np.ndarray], grade: np.ndarray, grades: int, buckets: int = BUCKETS, steps: int = STEPS) -> Ordinal:
-    """Maximum likelihood with a small ridge, by full-batch Adam; all grades weigh alike."""
+    """Maximum likelihood with a small ridge, by full-batch Adam."""
     flat = np.concatenate(rows) if rows else np.zeros(0, np.int32)
-    texts = np.bincount(flat, minlength=buckets)
-    used = np.flatnonzero(texts >= min(MIN_TEXTS, max(1, len(rows) // 10)))
+    own = np.repeat(grade, [len(r) for r in rows])
+    used = np.flatnonzero(chi_square(np.stack([np.bincount(flat[own == g], minlength=buckets) for g in range(grades)]), np.bincount(grade, minlength=grades)) >= min(CHI_SQUARE, len(rows) / 10))
     column = np.full(buckets, -1)
     column[used] = np.arange(len(used))
     owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     col = column[flat]
     owner, col = owner[col >= 0], col[col >= 0]
-    count = np.bincount(grade, minlength=grades)
-    weight = 1 / np.maximum(1, count)[grade] / max(1, (count > 0).sum())
+    weight = np.full(len(rows), 1 / max(1, len(rows)))
     w = np.zeros(len(used))
     cut = np.r_[0.0, np.full(grades - 2, 0.5)]  # first threshold, then logs of the steps up to the next
     state = [[np.zeros_like(x), np.zeros_like(x)] for x in (w, cut)]

@@ -102,12 +102,16 @@ def word_hashes(buf: np.ndarray, off: np.ndarray, word: np.ndarray, lower: bool
     after[:-1] = inside[1:]
     after[edge[edge > 0] - 1] = False
     ends = np.flatnonzero(inside & ~after) + 1
-    p, inv = _powers(len(buf) + 1)
-    total = np.zeros(len(buf) + 1, np.uint64)
-    np.cumsum(_BYTE[low] * p[: len(buf)], out=total[1:])
-    h = (total[ends] - total[starts]) * inv[starts]
-    h = mix(h + (ends - starts).astype(np.uint64) * NGRAM)
-    return h, np.searchsorted(starts, off), starts, ends
+    return span_hashes(low, starts, ends), np.searchsorted(starts, off), starts, ends
+
+
+def span_hashes(low: np.ndarray, starts: np.ndarray, *ends: np.ndarray):
+    """Hashes of the bytes from each start to each end; one array for each of ``ends``."""
+    p, inv = _powers(len(low) + 1)
+    total = np.zeros(len(low) + 1, np.uint64)
+    np.cumsum(_BYTE[low] * p[: len(low)], out=total[1:])
+    out = [mix((total[e] - total[starts]) * inv[starts] + (e - starts).astype(np.uint64) * NGRAM) for e in ends]
+    return out if len(out) > 1 else out[0]
 
 
 def ngrams(h: np.ndarray, k: int) -> np.ndarray:
