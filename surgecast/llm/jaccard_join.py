@@ -48,6 +48,8 @@ LARGE = 32
 HOT, MAX_HOT = 32, 1 << 21
 #: Bits of the map of repeated shingles: 8 a shingle, but never more than this (16 MB).
 MAX_BITS = 1 << 27
+#: Bits of the map that one row brings to the driver.
+MAP_PIECE = 1 << 20
 #: Members of one salted group, and rows of one block.
 GROUP, BLOCK = 500, 512
 #: Pivot documents a region gets before its rest is joined in blocks.
@@ -190,18 +192,32 @@ def shingle_order(docs: DataFrame, k: int = SHINGLE) -> Order:
     while bits < 8 * sizes[0] and bits < MAX_BITS:
         bits *= 2
     shift = 64 - (bits.bit_length() - 1)
-    at = F.shiftrightunsigned("key", shift - 8)
-    rows = (
-        counts.select(F.shiftrightunsigned(at, 6).alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), at.bitwiseAND(F.lit(63)).cast("int")).alias("bit"))
-        .groupBy("word")
-        .agg(F.bit_or("bit").alias("bits"))
-        .toPandas()
-    )
-    out = np.zeros(bits // 64, np.uint64)
-    out[rows["word"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64).view(np.uint64)
     least = next(h for h, n in zip(steps, sizes[1:]) if n <= MAX_HOT)
-    hot = counts.where(F.col("n") > least).select("key").toPandas()["key"].to_numpy(np.int64)
-    return Order(out, shift, np.sort(hot.astype(np.uint64)))
+    piece = min(bits, MAP_PIECE)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        maps: dict[int, np.ndarray] = {}
+        hot: list[np.ndarray] = []
+        for b in batches:
+            key, n = b.column(0).to_numpy().astype(np.uint64), b.column(1).to_numpy()
+            hot.append(key[n > least])
+            at = (key >> np.uint64(shift - 8)).astype(np.int64)
+            for c in np.unique(at // piece).tolist():
+                own = maps.setdefault(c, np.zeros(piece, bool))
+                own[at[at // piece == c] % piece] = True
+        rows = [(c, np.packbits(m, bitorder="little").tobytes()) for c, m in maps.items()]
+        rows += [(-1, h.tobytes()) for h in hot if len(h)]
+        yield pa.RecordBatch.from_arrays([pa.array([c for c, _ in rows], pa.int32()), pa.array([x for _, x in rows], pa.binary())], names=["piece", "bytes"])
+
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = counts.repartition(parts, F.shiftrightunsigned("key", shift - 8 + piece.bit_length() - 1))
+    out, hot = np.zeros(bits // 8, np.uint8), [np.zeros(0, np.uint64)]
+    for r in dealt.mapInArrow(pack, "piece int, bytes binary").collect():  # MAX_BITS and MAX_HOT bound it
+        if r["piece"] < 0:
+            hot.append(np.frombuffer(bytes(r["bytes"]), np.uint64))
+        else:
+            out[r["piece"] * piece // 8 : (r["piece"] + 1) * piece // 8] |= np.frombuffer(bytes(r["bytes"]), np.uint8)
+    return Order(out.view(np.uint64), shift, np.sort(np.concatenate(hot)))
 
 
 def memberships(docs: DataFrame, order, k: int, percent: int) -> DataFrame:
