@@ -25,13 +25,10 @@ HOURLY_ZSCORE = {"error_rate": (24, 5.0, 0.2), "cpu_util": (4, 4.0, 0.2), "respo
 
 
 def zscore_long(t: Tables):
-    al = materialize(aligned_metrics(t))  # one row per hour; read by every metric below
-    out = None
-    for m, (lag, th, infl) in HOURLY_ZSCORE.items():
-        part = an.smoothed_zscore(al.select(F.lit(m).alias("metric"), "datetime", F.col(m).alias("value")),
-                                  ["metric"], "datetime", "value", lag=lag, threshold=th, influence=infl)
-        out = part if out is None else out.unionByName(part)
-    return out
+    al = aligned_metrics(t)
+    points = F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in HOURLY_ZSCORE]))
+    long = al.select("datetime", points.alias("p")).select("p.metric", "datetime", "p.value")
+    return an.smoothed_zscore(long, ["metric"], "datetime", "value", settings=HOURLY_ZSCORE)
 
 
 def _zscore_sql() -> str:
@@ -116,7 +113,7 @@ FOREST_FEATURES = ["traffic", "cpu_util", "error_rate", "response_time"]
 
 def forest_frame(t: Tables):
     al = aligned_metrics(t)
-    f = ser.with_lags(al, [], "datetime", FOREST_FEATURES, 2)
+    f = ser.with_lags(al, [], "datetime", FOREST_FEATURES, 10)
     # read by the sampler, the scorer and the ESD detectors: computed once
     return materialize(f.withColumns({"hour": F.hour("datetime"), "weekday": F.weekday("datetime")}))
 
@@ -128,7 +125,7 @@ def forest_scores(spark, sf_dir):
     f = forest_frame(t)
     feats = [c for c in f.columns if c != "datetime"]
     train = ser.slice_days(f, "datetime", "2024-01-20", 19)
-    trees = an.rcf_fit(train, feats, n_trees=an.RCF_TREES, sample_size=256)
+    trees = an.rcf_fit(train, feats, key=["datetime"])
     scored = an.rcf_score(f, trees, feats)
     out = an.quantile_flags(scored, "score", [0.95, 0.99])
     return finish(out.select("datetime", "score", "`anomaly_0.95`", "`anomaly_0.99`"))
@@ -201,7 +198,7 @@ def metric_anomaly_periods(spark, sf_dir):
     t = Tables(spark, sf_dir)
     f = forest_frame(t)
     feats = [c for c in f.columns if c != "datetime"]
-    trees = an.rcf_fit(ser.slice_days(f, "datetime", "2024-01-20", 19), feats, sample_size=256)
+    trees = an.rcf_fit(ser.slice_days(f, "datetime", "2024-01-20", 19), feats, key=["datetime"])
     scored = an.quantile_flags(an.rcf_score(f, trees, feats), "score", [0.95, 0.99])
     long = None
     for m in ["error_rate", "cpu_util"]:

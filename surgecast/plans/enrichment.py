@@ -12,7 +12,7 @@ from surgecast.plans.events import GRAIN, QCAL
 from surgecast.plans.oracle_views import ctes
 from surgecast.plans.registry import finish, query
 from surgecast.sources import decode
-from surgecast.sources.tables import Tables
+from surgecast.sources.tables import Tables, spread_days
 
 # ---- fixed values (must equal the reference's) -----------------------------
 # Ranks added by hand when a team is missing from a season's table.
@@ -28,8 +28,8 @@ def social_files(t: Tables):
 
     The first time per user is a partial aggregate joined back (a user with a
     third of all rows costs one row per partition, not one task)."""
-    ev = t.events.where(F.col("event_id") % 61 == 0)
-    first = ev.groupBy("user_id").agg(F.date_trunc("minute", F.min("ts")).alias("date_utc"))
+    ev = t.events
+    first = ev.groupBy("user_id").agg((F.date_trunc("minute", F.min("ts")) + spread_days("user_id")).alias("date_utc"))
     return ev.join(first, "user_id").select(
         F.col("user_id").alias("id"),
         "date_utc",
@@ -70,10 +70,10 @@ def rankings_extended(spark, sf_dir):
 SIDE_SQL = ctes("calendar", "scheduled_tasks", "rankings", extra={
     **{k: v for k, v in QCAL.items() if k == "calq"},
     **RANKINGS_SQL,
-    "sf": """SELECT user_id AS id, date_trunc('minute', min(ts) OVER (PARTITION BY user_id)) AS date_utc,
+    "sf": """SELECT user_id AS id, date_trunc('minute', min(ts) OVER (PARTITION BY user_id)) + cast(user_id % 29 AS int) * interval '1' day AS date_utc,
                     cast(json_extract_string(props, '$.k') AS double) AS netbase_metric_impressions,
                     value AS netbase_metric_totalbuzz, cast(ts AS date) AS file_date, event_id
-             FROM events WHERE event_id % 61 = 0""",
+             FROM events""",
     "social": """SELECT id, date_utc, netbase_metric_impressions, netbase_metric_totalbuzz FROM (
                    SELECT *, row_number() OVER (PARTITION BY id ORDER BY file_date DESC, event_id DESC) AS rn FROM sf) x
                  WHERE rn = 1""",

@@ -28,22 +28,22 @@ SELECT c.id, n0.n_name || ' at ' || n1.n_name AS name, 'L' || cast(c.id % 4 AS v
        n0.n_name AS team_0_display_name, n1.n_name AS team_1_display_name,
        CASE c.id % 4 WHEN 0 THEN 'A|B' WHEN 1 THEN 'A,C' WHEN 2 THEN 'B' END AS media,
        CASE WHEN c.id % 5 = 0 THEN NULL ELSE 'V' || cast(c.id % 7 AS varchar) END AS venue
-FROM (SELECT user_id AS id, date_trunc('minute', min(ts)) AS date_utc
-      FROM events WHERE event_id % 61 = 0 GROUP BY user_id) c
+FROM (SELECT user_id AS id, date_trunc('minute', min(ts)) + cast(user_id % 29 AS int) * interval '1' day AS date_utc
+      FROM events GROUP BY user_id) c
 JOIN nation n0 ON n0.n_nationkey = c.id % 25
 JOIN nation n1 ON n1.n_nationkey = (c.id + 7) % 25""",
     "airings": """
 SELECT l_orderkey % 200 AS event_id, cast(l_orderkey % 200 AS varchar) AS game_id,
        CASE WHEN l_linenumber = 3 THEN NULL ELSE l_returnflag || l_linestatus END AS network_name
-FROM lineitem WHERE l_partkey % 50 = 0""",
+FROM lineitem""",
     "scheduled_tasks": f"""
 SELECT date_trunc('hour', ts) AS datetime, cast(ceil({HOURLY_SUM} / 100) AS bigint) AS n_tasks
 FROM events GROUP BY date_trunc('hour', ts)""",
     "predictions_full": f"""
 SELECT date_trunc('hour', ts) AS ds, {HOURLY_SUM} AS total,
-       coalesce(cast(sum(CASE WHEN event_type = 'click' AND user_id % 10 = 0 THEN cast(value AS decimal(12,2)) END) AS double), 0.0E0) AS click,
-       coalesce(cast(sum(CASE WHEN event_type = 'view' AND user_id % 10 = 0 THEN cast(value AS decimal(12,2)) END) AS double), 0.0E0) AS view_,
-       coalesce(cast(sum(CASE WHEN event_type = 'purchase' AND user_id % 10 = 0 THEN cast(value AS decimal(12,2)) END) AS double), 0.0E0) AS purchase
+       coalesce(cast(sum(CASE WHEN event_type = 'click' AND value > 40 THEN cast(value AS decimal(12,2)) END) AS double), 0.0E0) AS click,
+       coalesce(cast(sum(CASE WHEN event_type = 'view' AND value > 40 THEN cast(value AS decimal(12,2)) END) AS double), 0.0E0) AS view_,
+       coalesce(cast(sum(CASE WHEN event_type = 'purchase' AND value > 40 THEN cast(value AS decimal(12,2)) END) AS double), 0.0E0) AS purchase
 FROM events GROUP BY date_trunc('hour', ts)""",
     "service_metrics": f"""
 SELECT date_trunc('hour', ts) AS datetime, {HOURLY_SUM} AS traffic,
@@ -61,7 +61,7 @@ SELECT l_returnflag AS model, l_extendedprice AS y,
        l_extendedprice * (1 - l_discount) * (1 + l_tax) AS yhat
 FROM lineitem""",
     "rankings": """
-SELECT n_name AS team_name, 2024 AS year, n_nationkey + 1 AS league_rank FROM nation WHERE n_nationkey % 6 <> 0""",
+SELECT n_name AS team_name, 2024 AS year, n_nationkey + 1 AS league_rank FROM nation""",
     "service_info": """
 SELECT 'svc' || cast(r_regionkey AS varchar) AS service, r_name AS region,
        cast(1000 + r_regionkey AS varchar) AS account_id, 'cl-' || r_name AS cluster_name FROM region""",

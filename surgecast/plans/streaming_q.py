@@ -28,7 +28,7 @@ HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events)
 def stream_windowed_traffic(spark, sf_dir):
     """Hourly traffic per event type from a file stream; windows closed by a 1-hour watermark."""
     s = events_stream(spark, sf_dir)
-    out = st.run_to_table(spark, st.windowed_counts(s, ["event_type"], "ts", "value", window="1 hour", watermark="1 hour"),
+    out = st.run_to_table(spark, st.windowed_counts(s, ["event_type"], "ts", "value", window="1 hour", watermark="1 hour", exact="decimal(12,2)"),
                           "st1")
     return finish(out)
 

@@ -11,28 +11,34 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from surgecast.operators.anomaly import SmoothedScore
 from surgecast.sinks.files import scratch_path
 
 
 def windowed_counts(stream: DataFrame, keys: Sequence[str], ts: str = "ts", value: str = "value", *,
-                    window: str = "5 minutes", watermark: str = "10 minutes") -> DataFrame:
-    """ST1: tumbling-window traffic per key with late data bounded by the watermark."""
+                    window: str = "5 minutes", watermark: str = "10 minutes", exact: str | None = None) -> DataFrame:
+    """ST1: tumbling-window traffic per key with late data bounded by the watermark.
+
+    Values are added as they are; ``exact`` names a decimal type to add them in
+    where the order of addition must not matter. Windows the watermark hasn't
+    passed at the end of a bounded run are not emitted."""
+    amount = F.col(value).cast(exact) if exact else F.col(value).cast("double")
     s = stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, watermark)
     return s.groupBy(F.window(ts, window).alias("w"), *keys).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.col(value).cast("decimal(12,2)")).cast("double").alias("total")
+        F.count(F.lit(1)).alias("n"), F.sum(amount).cast("double").alias("total")
     ).select(*keys, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "n", "total")
 
 
 def online_periods(stream: DataFrame, keys: Sequence[str], ts: str = "ts", *, gap: str = "30 minutes",
                    watermark: str = "1 hour") -> DataFrame:
-    """ST2: anomalous periods as session windows, emitted once the watermark passes them."""
+    """ST2: anomalous periods as session windows, emitted once the watermark passes them
+    (so not those still open at the end of a bounded run)."""
     s = stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, watermark)
     return s.groupBy(*keys, F.session_window(ts, gap).alias("s")).agg(
         F.min(ts).alias("start_time"), F.max(ts).alias("end_time"), F.count(F.lit(1)).alias("n_points")
@@ -47,36 +53,19 @@ def dedupe_points(stream: DataFrame, keys: Sequence[str], ts: str = "ts", *, wat
 
 def zscore_stream(stream: DataFrame, key: str, ts: str, value: str, *, lag: int, threshold: float, influence: float) -> DataFrame:
     """ST3: smoothed z-score online. State per key: the last ``lag`` filtered
-    values and the number of points seen (bounded by ``lag``)."""
+    values (bounded by ``lag``)."""
     out_schema = T.StructType([
         T.StructField(key, stream.schema[key].dataType), T.StructField(ts, stream.schema[ts].dataType),
         T.StructField(value, T.DoubleType()), T.StructField("signal", T.IntegerType()),
         T.StructField("avg_filter", T.DoubleType()), T.StructField("std_filter", T.DoubleType()),
     ])
-    state_schema = T.StructType([T.StructField("window", T.ArrayType(T.DoubleType())), T.StructField("seen", T.LongType())])
+    state_schema = T.StructType([T.StructField("window", T.ArrayType(T.DoubleType()))])
 
     def step(k, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        window, seen = (list(state.get[0]), int(state.get[1])) if state.exists else ([], 0)
+        score = SmoothedScore(lag, threshold, influence, state.get[0] if state.exists else ())
         pdf = pd.concat(list(batches)).sort_values(ts, kind="mergesort")
-        rows = []
-        for t, y in zip(pdf[ts], pdf[value].astype(float)):
-            sig, avg, std = 0, 0.0, 0.0
-            if seen < lag:
-                window.append(y)
-                if seen == lag - 1:
-                    avg, std = float(np.mean(window)), float(np.std(window))
-            else:
-                a, s = float(np.mean(window)), float(np.std(window))
-                if abs(y - a) > threshold * s:
-                    sig = 1 if y > a else -1
-                    filt = influence * y + (1 - influence) * window[-1]
-                else:
-                    filt = y
-                window = window[1:] + [filt]
-                avg, std = float(np.mean(window)), float(np.std(window))
-            seen += 1
-            rows.append((k[0], t, y, sig, avg, std))
-        state.update((window, seen))
+        rows = [(k[0], t, y, *score.push(y)) for t, y in zip(pdf[ts], pdf[value].astype(float))]
+        state.update((score.window(),))
         yield pd.DataFrame(rows, columns=[key, ts, value, "signal", "avg_filter", "std_filter"])
 
     return stream.groupBy(key).applyInPandasWithState(

@@ -2,6 +2,7 @@
 
 import math
 import random
+import statistics
 from datetime import datetime, timedelta
 
 import numpy as np
@@ -19,36 +20,68 @@ def _series(spark, values, key="s", step=3600):
     return spark.createDataFrame(rows, "series_id string, ts timestamp, value double")
 
 
-def brute_zscore(y, lag, threshold, influence):
-    n = len(y)
-    sig, filt, avg, std = [0] * n, list(y), [0.0] * n, [0.0] * n
-    avg[lag - 1] = sum(y[:lag]) / lag
-    std[lag - 1] = math.sqrt(sum((v - avg[lag - 1]) ** 2 for v in y[:lag]) / lag)
-    for i in range(lag, n):
-        if abs(y[i] - avg[i - 1]) > threshold * std[i - 1]:
-            sig[i] = 1 if y[i] > avg[i - 1] else -1
-            filt[i] = influence * y[i] + (1 - influence) * filt[i - 1]
-        else:
-            filt[i] = y[i]
-        w = filt[i - lag + 1:i + 1]
-        avg[i] = sum(w) / lag
-        std[i] = math.sqrt(sum((v - avg[i]) ** 2 for v in w) / lag)
-    return sig, avg, std
-
-
-def test_zscore_matches_brute_force(spark):
+def check_smoothed(y, lag, threshold, influence, signal, avg, std):
+    """Each point against the definition, from the signals given: the filtered
+    values they imply, and mean and deviation of the last ``lag`` of them."""
+    filtered = []
+    for i, v in enumerate(y):
+        filtered.append(v if not signal[i] else influence * v + (1 - influence) * filtered[-1])
+        last = filtered[-lag:]
+        if len(last) < lag:
+            assert (signal[i], avg[i], std[i]) == (0, 0, 0)
+            continue
+        assert math.isclose(avg[i], statistics.fmean(last), abs_tol=1e-9)
+        assert math.isclose(std[i], statistics.pstdev(last), abs_tol=1e-9)
+        if i >= lag:
+            far = abs(v - avg[i - 1]) > threshold * std[i - 1]
+            assert signal[i] == (0 if not far else 1 if v > avg[i - 1] else -1)
+
+
+def test_zscore_matches_definition(spark):
     random.seed(3)
     y = [random.gauss(10, 1) for _ in range(200)]
     y[120] = 40
     y[150] = -20
     df = an.smoothed_zscore(_series(spark, y), ["series_id"], "ts", "value", lag=12, threshold=4, influence=0.2)
     got = df.orderBy("ts").toPandas()
-    sig, avg, std = brute_zscore(y, 12, 4, 0.2)
-    assert list(got.signal) == sig
-    assert np.allclose(got.avg_filter, avg) and np.allclose(got.std_filter, std)
+    check_smoothed(y, 12, 4, 0.2, list(got.signal), list(got.avg_filter), list(got.std_filter))
     assert got.signal[120] == 1 and got.signal[150] == -1
 
 
+def test_zscore_state_can_be_cut_anywhere():
+    random.seed(5)
+    y = [random.gauss(0, 1) * (30 if i % 37 == 0 else 1) for i in range(150)]
+    whole = an.SmoothedScore(7, 3.0, 0.4)
+    expected = [whole.push(v) for v in y]
+    got, window = [], ()
+    for a, b in ((0, 3), (3, 40), (40, 41), (41, 150)):
+        part = an.SmoothedScore(7, 3.0, 0.4, window)
+        got += [part.push(v) for v in y[a:b]]
+        window = part.window()
+    assert [g[0] for g in got] == [e[0] for e in expected]
+    assert np.allclose(got, expected)
+
+
+def test_zscore_short_series_is_an_error(spark):
+    with pytest.raises(Exception, match="fewer than the lag"):
+        an.smoothed_zscore(_series(spark, [1.0, 2.0]), ["series_id"], "ts", "value", lag=3, threshold=2, influence=0.5).collect()
+
+
+def test_forest_sample_limit_has_no_floor():
+    for n in (10**6, 10**9, 10**12):
+        share = (an.sample_limit(n, 256) + (1 << 63)) / (1 << 64)
+        assert math.isclose(share * n, 512, rel_tol=1e-6)
+    assert an.sample_limit(500, 256) is None
+
+
+def test_forest_samples_equal_rows_by_key_and_needs_rows(spark):
+    same = spark.range(3000).selectExpr("id", "1.0D AS a", "2.0D AS b")
+    roots = an.rcf_fit(same, ["a", "b"], key=["id"], n_trees=6, sample_size=50).where("node = 0").collect()
+    assert sorted(r["size"] for r in roots) == [50] * 6
+    with pytest.raises(ValueError):
+        an.rcf_fit(same.limit(0), ["a", "b"])
+
+
 def test_peak_replacement_brute_force():
     pdf = pd.DataFrame({"t": [1, 2, 2, 3, 4, 5], "y": [50.0, 1.0, 3.0, 60.0, 2.0, 70.0]})
     out = an.replace_peaks_frame(pdf, "t", "y", 10)
