@@ -27,7 +27,7 @@ from surgecast.session import ship_package
 #: Hash buckets, rows the model is fitted on at most, and passes over them.
 BUCKETS, TRAIN_ROWS, STEPS = 1 << 18, 10_000, 150
 #: A feature gets a weight if its chi-square with some grade is at least this.
-CHI_SQUARE = 40
+CHI_SQUARE = 15
 RATE, RIDGE = 0.05, 1e-6
 #: Bytes of the beginnings of words that are features.
 STEMS = (4, 5, 7)
@@ -109,7 +109,7 @@ def fit(rows: list[np.ndarray], grade: np.ndarray, grades: int, buckets: int = B
     """Maximum likelihood with a small ridge, by full-batch Adam."""
     flat = np.concatenate(rows) if rows else np.zeros(0, np.int32)
     own = np.repeat(grade, [len(r) for r in rows])
-    used = np.flatnonzero(chi_square(np.stack([np.bincount(flat[own == g], minlength=buckets) for g in range(grades)]), np.bincount(grade, minlength=grades)) >= min(CHI_SQUARE, len(rows) / 10))
+    used = np.flatnonzero(chi_square(np.stack([np.bincount(flat[own == g], minlength=buckets) for g in range(grades)]), np.bincount(grade, minlength=grades)) >= min(CHI_SQUARE, len(rows) / 20))
     column = np.full(buckets, -1)
     column[used] = np.arange(len(used))
     owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
