@@ -26,6 +26,8 @@ SEGMENTS = (1, 4, 16)
 #: Candidates of one group: within these bounds, a hundredth of all, so that
 #: the copies of the queries stay no more than the candidates.
 GROUP_MIN, GROUP_MAX = 4096, 65536
+#: Queries that meet a group at a time, and pairs computed at a time.
+QUERIES, PIECE = 128, 1 << 14
 
 
 def segment_stats(x: np.ndarray, m: int) -> tuple[np.ndarray, np.ndarray]:
@@ -52,11 +54,18 @@ class Group:
         self.levels = [segment_stats(x, m) for m in SEGMENTS] if x.shape[1] else []
         self.most = float(np.abs(x).max()) if x.size else 0.0
 
-    def exact(self, q: np.ndarray, cols: np.ndarray) -> np.ndarray:
-        if float(np.abs(q).max() if q.size else 0) * self.most * max(1, q.shape[1]) < 2**53:
-            return np.einsum("nd,nd->n", q, self.x[cols]).astype(np.int64)
-        exact = [sum(int(a) * int(b) for a, b in zip(u, v)) for u, v in zip(q, self.x[cols])]
-        return np.array(exact, np.int64)
+    def exact(self, q: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
+        """Scores of pairs (row of q, candidate), in pieces of bounded size; of
+        many pairs, by one product of the matrices."""
+        if float(np.abs(q).max() if q.size else 0) * self.most * max(1, q.shape[1]) >= 2**53:
+            exact = [sum(int(a) * int(b) for a, b in zip(q[r], self.x[c])) for r, c in zip(rows, cols)]
+            return np.array(exact, np.int64)
+        if len(rows) > len(q) * len(self.x) // 32:
+            return (q @ self.x.T)[rows, cols].astype(np.int64)
+        out = np.empty(len(rows), np.int64)
+        for i in range(0, len(rows), PIECE):
+            out[i : i + PIECE] = np.einsum("nd,nd->n", q[rows[i : i + PIECE]], self.x[cols[i : i + PIECE]])
+        return out
 
     def search(self, qid: np.ndarray, q: np.ndarray, k: int) -> list[tuple[int, int, int]]:
         """(query, candidate, score) of each query's best k here."""
@@ -68,11 +77,11 @@ class Group:
             if n > k:  # exact scores of the most promising raise the floor
                 top = np.argpartition(-bound, k - 1, axis=1)[:, :k]
                 rows = np.repeat(np.arange(len(q)), k)
-                got = np.where(alive[rows, top.ravel()], self.exact(q[rows], top.ravel()).astype(float), -np.inf)
+                got = np.where(alive[rows, top.ravel()], self.exact(q, rows, top.ravel()).astype(float), -np.inf)
                 floor = np.maximum(floor, got.reshape(len(q), k).min(1))
             alive &= bound >= floor[:, None]
         rows, cols = np.nonzero(alive)
-        score = self.exact(q[rows], cols)
+        score = self.exact(q, rows, cols)
         order = np.lexsort((self.ids[cols], -score, rows))
         rows, cols, score = rows[order], cols[order], score[order]
         first = np.searchsorted(rows, rows)
@@ -80,7 +89,7 @@ class Group:
         return list(zip(qid[rows[best]].tolist(), self.ids[cols[best]].tolist(), score[best].tolist()))
 
 
-def _search(k: int, block: int = 512):
+def _search(k: int, block: int = QUERIES):
     kinds = [("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
