@@ -109,3 +109,13 @@ def test_archives(spark):
         fields, body = warc.read_record(r.path, r.frame_at, r.frame_size, r.at)
         assert fields["WARC-Record-ID"] == f"<{r.record_id}>"
     assert warc.read_archives(warc.write_archives(df.limit(0), sharedfiles.new_folder(spark, "test-warc"))).count() == 0
+
+
+def test_word_tokenizer_parts():
+    """Parts in the table give the library's ids of the whole text."""
+    tool = token_files.WordTokenizer(queries.tokenizer_path(queries.WORD_BPE))
+    odd = ["<|startoftext|>", "<|EndOfText|>", "0", "10 20", "a0b 00", "İstanbul ΣΑΣ", "é ́x", "we're I'LL 'd", "''s \"'t", "\t\r\x0b", "٠١ ０²", "日本語", "😀🏽0", "a\x00b", "é0É", "Œuvre ß", "x" * 90 + "É", "A" * 300 + " 0", "", " ", "\n"]
+    rng = np.random.default_rng(3)
+    for _ in range(400):
+        text = "".join(rng.choice(odd, rng.integers(0, 9)).tolist())
+        assert tool(text).tolist() == tool.tool.encode(text, add_special_tokens=False).ids
