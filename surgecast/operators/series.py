@@ -87,19 +87,19 @@ def with_distribution_features(df: DataFrame, keys: Keys, cols: Sequence[str], q
     Median and quantile are exact per-series aggregates joined back to rows
     (one row per series; AQE picks broadcast or sort-merge from its measured size).
     """
+    aggs = []
+    for c in cols:
+        aggs += [F.median(c).alias(f"_med_{c}"), F.percentile(c, q).alias(f"_q_{c}")]
     if keys:
-        aggs = []
-        for c in cols:
-            aggs += [F.median(c).alias(f"_med_{c}"), F.percentile(c, q).alias(f"_q_{c}")]
-        stats = df.groupBy(*keys).agg(*aggs)
-        joined = df.join(stats, list(keys))
+        joined = df.join(df.groupBy(*keys).agg(*aggs), list(keys))
         med = {c: F.col(f"_med_{c}") for c in cols}
         qq = {c: F.col(f"_q_{c}") for c in cols}
     else:
-        # whole-frame statistics are scalar subqueries (merged into one scan by the optimizer)
+        # all whole-frame statistics are one scalar subquery, read once
         joined = df
-        med = {c: df.agg(F.median(c)).scalar() for c in cols}
-        qq = {c: df.agg(F.percentile(c, q)).scalar() for c in cols}
+        stats = df.agg(F.struct(*aggs).alias("_s")).scalar()
+        med = {c: stats.getField(f"_med_{c}") for c in cols}
+        qq = {c: stats.getField(f"_q_{c}") for c in cols}
     new = {}
     for c in cols:
         new[f"{c}_diff_from_median"] = F.col(c) - med[c]
