@@ -20,8 +20,6 @@ from surgecast.session import ship_package
 MAX_LINK_DENSITY = 0.4
 LENGTH_LOW, LENGTH_HIGH = 70, 200
 STOPWORDS_LOW, STOPWORDS_HIGH = 0.15, 0.25
-#: Neighbours farther away than this many blocks decide nothing.
-MAX_DISTANCE = 20
 
 # Elements of HTML.
 RAW = "script style noscript template textarea iframe svg math object select title head"
@@ -185,11 +183,11 @@ def classify(found: list[Block]) -> None:
                 b.label = "bad" if b.place == "open" else "neargood"
     # pass two
     sure = [b.label if b.label in ("good", "bad") else "" for b in found]
+    all_before, all_after = _nearest(found, sure)
     for i, b in enumerate(found):
         if b.label in ("good", "bad"):
             continue
-        before = _nearest(found, sure, i, -1)
-        after = _nearest(found, sure, i, 1)
+        before, after = all_before[i], all_after[i]
         near = [x for x in (before, after) if x]
         if b.place == "good":  # in an article, only its own blocks speak
             b.label = "bad" if near and all(x == "bad" for _, x in near) and b.label == "short" and b.in_links else "good"
@@ -203,13 +201,24 @@ def classify(found: list[Block]) -> None:
             b.label = "good" if labels == {"good"} else "bad"
 
 
-def _nearest(found: list[Block], sure: list[str], i: int, step: int) -> tuple[int, str] | None:
-    j = i + step
-    while 0 <= j < len(found) and abs(j - i) <= MAX_DISTANCE:
-        if sure[j] and (found[i].place != "good" or found[j].place == "good"):
-            return abs(j - i), sure[j]
-        j += step
-    return None
+def _nearest(found: list[Block], sure: list[str]) -> list[list[tuple[int, str] | None]]:
+    """Distance and label of the last and of the next decided block of each block, at any distance.
+
+    Blocks in an article only see blocks in an article.
+    """
+    out = []
+    for step in (1, -1):
+        last: dict[bool, int] = {}  # the last decided block: of all, of those in an article
+        near: list[tuple[int, str] | None] = []
+        for i in range(len(found))[::step]:
+            j = last.get(found[i].place == "good")
+            near.append(None if j is None else (abs(j - i), sure[j]))
+            if sure[i]:
+                last[False] = i
+                if found[i].place == "good":
+                    last[True] = i
+        out.append(near[::step])
+    return out
 
 
 def main_text(page: str | None) -> str:

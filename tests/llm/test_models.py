@@ -117,6 +117,14 @@ def test_main_text_neighbours_decide():
     assert [b.label for b in blocks] == ["bad", "bad", "good", "good"]
 
 
+def test_main_text_neighbours_at_any_distance():
+    long = "It was the best of the times and it was the worst of the times, as all of us have read in the book that they gave to us. " * 3
+    lines = [f"Line {i} here" for i in range(50)]
+    body = "".join(f"<p>{x}</p>" for x in lines)
+    assert html_extract.main_text(f"<p>{long}</p>{body}<p>{long}</p>") == " ".join([long.strip(), *lines, long.strip()])
+    assert html_extract.main_text(f"<h2>Verse</h2>{body}<p>{long}</p>") == " ".join(["Verse", *lines, long.strip()])
+
+
 @pytest.mark.parametrize("page", [None, "", "<", "<p", "<p>a", "&am", "<article><p>It is the", "<!--", "<script>x", '<a href="', "<p>\x00</p>", "<nav>" * 500, "text only"])
 def test_main_text_of_broken_pages(page):
     assert isinstance(html_extract.main_text(page), str)
