@@ -112,8 +112,9 @@ FOREST_FEATURES = ["traffic", "cpu_util", "error_rate", "response_time"]
 
 
 def forest_frame(t: Tables):
-    al = aligned_metrics(t)
-    f = ser.with_lags(al, [], "datetime", FOREST_FEATURES, 10)
+    al = materialize(aligned_metrics(t).select("datetime", *FOREST_FEATURES))  # the whole-frame statistics read it, too
+    f = ser.with_distribution_features(al, [], FOREST_FEATURES)
+    f = ser.with_lags(f, [], "datetime", FOREST_FEATURES, 10).dropna()  # no log at -1 or below
     # read by the sampler, the scorer and the ESD detectors: computed once
     return materialize(f.withColumns({"hour": F.hour("datetime"), "weekday": F.weekday("datetime")}))
 

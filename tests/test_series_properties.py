@@ -82,6 +82,27 @@ def test_forest_samples_equal_rows_by_key_and_needs_rows(spark):
         an.rcf_fit(same.limit(0), ["a", "b"])
 
 
+def test_forest_frame_has_the_features_of_the_reference(spark):
+    from surgecast.plans import anomaly_q as aq
+    from surgecast.plans.series_q import aligned_metrics
+    from surgecast.sources.tables import Tables
+    from tests.conftest import SF_CHECK
+
+    t = Tables(spark, SF_CHECK)
+    got = aq.forest_frame(t).toPandas().set_index("datetime").sort_index()
+    e = aligned_metrics(t).toPandas().set_index("datetime").sort_index()[aq.FOREST_FEATURES].astype(float)
+    for c in aq.FOREST_FEATURES:
+        e[f"{c}_diff_from_median"] = e[c] - e[c].median()
+        e[f"{c}_more_quant_999"] = (e[c] > e[c].quantile(0.999)).astype(int)
+        e[f"{c}_log"] = np.log(e[c] + 1)
+        for l in range(1, 11):
+            e[f"{c}_lag_{l}"] = e[c].shift(l)
+    e = e.dropna()
+    e["hour"], e["weekday"] = e.index.hour, e.index.dayofweek
+    assert sorted(got.columns) == sorted(e.columns) and len(got) == len(e) > 0
+    assert np.allclose(got[e.columns].to_numpy(float), e.to_numpy(float), rtol=0, atol=1e-9)
+
+
 def test_peak_replacement_brute_force():
     pdf = pd.DataFrame({"t": [1, 2, 2, 3, 4, 5], "y": [50.0, 1.0, 3.0, 60.0, 2.0, 70.0]})
     out = an.replace_peaks_frame(pdf, "t", "y", 10)
