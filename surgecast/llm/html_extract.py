@@ -2,7 +2,10 @@
 
 Pass one classifies each block by its place in the page (menus, forms and the
 like are never text), link density, length and density of stop words. Pass two
-gives an ambiguous short block the label of its nearest decided neighbours.
+gives an ambiguous short block the label of its nearest decided neighbours. In
+an article or main element the same rules hold: there a long block of few stop
+words is undecided, only blocks in articles are neighbours, and a block whose
+neighbours say nothing or disagree is text.
 """
 
 from __future__ import annotations
@@ -174,7 +177,7 @@ def classify(found: list[Block]) -> None:
             density = sum(w in STOPWORDS for w in words) / max(1, len(words))
             size = len(b.text)
             if size < LENGTH_LOW:
-                b.label = "bad" if b.in_links else "short"
+                b.label = "short"
             elif density >= STOPWORDS_HIGH:
                 b.label = "good" if size > LENGTH_HIGH else "neargood"
             elif density >= STOPWORDS_LOW:
@@ -189,16 +192,15 @@ def classify(found: list[Block]) -> None:
             continue
         before, after = all_before[i], all_after[i]
         near = [x for x in (before, after) if x]
-        if b.place == "good":  # in an article, only its own blocks speak
-            b.label = "bad" if near and all(x == "bad" for _, x in near) and b.label == "short" and b.in_links else "good"
-        elif b.label == "neargood":
+        prior = "good" if b.place == "good" else "bad"  # where the neighbours say nothing or disagree
+        if b.label == "neargood":
             b.label = "good" if not near or any(x == "good" for _, x in near) else "bad"
         elif b.heading:
-            b.label = after[1] if after else "bad"
+            b.label = after[1] if after else prior
         else:
             best = min(near, key=lambda x: x[0])[0] if near else 0
             labels = {x for d, x in near if d == best}
-            b.label = "good" if labels == {"good"} else "bad"
+            b.label = labels.pop() if len(labels) == 1 else prior
 
 
 def _nearest(found: list[Block], sure: list[str]) -> list[list[tuple[int, str] | None]]:

@@ -125,6 +125,19 @@ def test_main_text_neighbours_at_any_distance():
     assert html_extract.main_text(f"<h2>Verse</h2>{body}<p>{long}</p>") == " ".join(["Verse", *lines, long.strip()])
 
 
+@pytest.mark.parametrize("box", ["article", "div"])
+def test_main_text_rules_hold_in_articles(box):
+    long = "It was the best of the times and it was the worst of the times, as all of us have read in the book that they gave to us. " * 3
+    linked = "See <a href=1>the list</a> of the winners."
+    links = "<p><a href=2>Two of the links</a></p><p>Mehr Videos</p><p><a href=3>Three of the links</a></p>"
+    page = f"<{box}><p>{long}</p><p>{linked}</p><p>{long}</p>{links}</{box}>"
+    assert html_extract.main_text(page) == f"{long.strip()} See the list of the winners. {long.strip()}"
+
+
+def test_main_text_of_articles_without_decided_blocks():
+    assert html_extract.main_text("<article><h1>Title</h1><p>One line</p></article>") == "Title One line"
+
+
 @pytest.mark.parametrize("page", [None, "", "<", "<p", "<p>a", "&am", "<article><p>It is the", "<!--", "<script>x", '<a href="', "<p>\x00</p>", "<nav>" * 500, "text only"])
 def test_main_text_of_broken_pages(page):
     assert isinstance(html_extract.main_text(page), str)
