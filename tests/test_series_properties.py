@@ -177,6 +177,14 @@ def test_esd_finds_injected_spike(spark):
     assert datetime(2024, 1, 1) + timedelta(hours=100) in hits
 
 
+def test_esd_short_series_is_an_error(spark):
+    with pytest.raises(Exception, match="47 points, fewer than 48"):
+        an.seasonal_esd(_series(spark, [1.0] * 46 + [90.0]), ["series_id"], "ts", "value", period=24, max_anoms=0.02).collect()
+    assert an.seasonal_esd(_series(spark, [1.0] * 48), ["series_id"], "ts", "value", period=24, max_anoms=0.02).collect() == []
+    with pytest.raises(ValueError, match="too few"):
+        an.esd_positive(np.array([1.0, 9.0]), 1)
+
+
 def test_t_quantile_known_values():
     assert an.t_ppf(0.975, 10) == pytest.approx(2.228138851986, abs=1e-6)
     assert an.t_ppf(0.99, 3) == pytest.approx(4.540702858568, abs=1e-6)
