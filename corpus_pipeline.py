@@ -31,19 +31,29 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return kept.withColumns({"text": F.col("kept"), "n_chars": F.length("kept").cast("long")}).select(*docs.columns)
 
 
+def _with_key(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``own``: doc_ids in order, null ones last, and the text's hash.
+
+    Rows of one key are copies; doc_ids alone may be null or repeated.
+    """
+    key = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.xxhash64("text").alias("text_hash"))
+    return docs.withColumn("own", key)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of smallest doc_id of each group of copies and near copies."""
-    groups = jaccard_join.similar_components(docs)
-    first = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("first_id")).distinct()
-    kept = docs.join(first, F.col("doc_id").eqNullSafe(F.col("first_id")), "left_semi")
-    return kept.withColumn("text_hash", F.xxhash64("text")).dropDuplicates(["doc_id", "text_hash"]).select(*docs.columns)
+    """The document of smallest doc_id of each group of copies and near copies, null ids last; of those that share it, one."""
+    keyed = _with_key(docs)
+    groups = jaccard_join.similar_components(keyed.select(F.col("own").alias("doc_id"), "text"))
+    first = groups.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("own")).distinct()
+    return keyed.join(first, "own", "left_semi").dropDuplicates(["own"]).select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that aren't contaminated by the benchmark."""
-    judged = decontaminate.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    dirty = judged.where("contaminated").select(F.col("doc_id").alias("dirty_id")).distinct()
-    return docs.join(dirty, F.col("doc_id").eqNullSafe(F.col("dirty_id")), "left_anti")
+    """Documents that aren't contaminated by the benchmark, each judged by its own text."""
+    keyed = _with_key(docs)
+    judged = decontaminate.contamination(keyed.select(F.col("own").alias("doc_id"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    dirty = judged.where("contaminated").select(F.col("doc_id").alias("own")).distinct()
+    return keyed.join(dirty, "own", "left_anti").select(*docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

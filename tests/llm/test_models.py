@@ -151,6 +151,28 @@ def test_extract_tables(spark):
     assert html_extract.extract(df.limit(0)).count() == 0
 
 
+def test_pipeline_judges_rows_not_doc_ids(spark, tmp_path):
+    import corpus_pipeline as cp
+
+    text = lambda name, n=60: " ".join(f"{name}{i}" for i in range(n))
+    item = text("bench", 20)
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(None, text("a")), (None, item), (None, text("b")), (7, text("c")), (7, item), (7, text("c")), (8, item)]
+    clean = cp.decontamination(spark, spark.createDataFrame(rows, "doc_id long, text string"), str(tmp_path)).collect()
+    assert sorted(map(tuple, clean), key=str) == sorted([rows[i] for i in (0, 2, 3, 5)], key=str)
+
+    near = lambda name: text(name) + " more"
+    rows = [
+        (None, text("a")), (None, near("a")), (None, text("a")),  # a group without ids
+        (None, text("b")), (3, near("b")), (5, text("b")),  # the smallest id stays, null isn't one
+        (4, text("c")), (4, near("c")), (4, near("c")), (9, text("c")),  # one id, several near copies
+        (None, text("d")), (4, text("e")), (4, text("e")),
+    ]
+    kept = cp.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(3), str(tmp_path)).collect()
+    got = sorted((r.text[0], r.doc_id) for r in kept)
+    assert got == [("a", None), ("b", 3), ("c", 4), ("d", None), ("e", 4)]
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline as cp
 
