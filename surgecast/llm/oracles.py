@@ -68,10 +68,31 @@ SELECT page_id, n AS payload_bytes, sha1(body) AS payload_digest,
 FROM m
 """
 
+OP11 = f"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_TEXT}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS ws FROM p),
+n AS (SELECT lang, sum(len(ws))::bigint AS n FROM w GROUP BY 1),
+g AS (SELECT lang, k, array_to_string(ws[i : i + k - 1], ' ') AS phrase
+  FROM (SELECT *, unnest(range(1, len(ws) - k + 2)) AS i FROM (SELECT *, unnest([1, 2, 3, 4]) AS k FROM w) WHERE len(ws) >= k)),
+f AS (SELECT lang, k, phrase, count(*) AS a FROM g GROUP BY ALL HAVING count(*) >= 30),
+c AS (SELECT *, string_split(phrase, ' ') AS ws FROM f WHERE k >= 2),
+cuts AS (SELECT c.lang, c.phrase, c.a, j, x.a AS l, y.a AS r, (2000000::hugeint * c.a) // (x.a + y.a) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM c) c
+  JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.ws[1 : j], ' ')
+  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.ws[j + 1 : c.k], ' ')),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+subs AS (SELECT lang, a AS big, array_to_string(ws[i : i + m - 1], ' ') AS phrase
+  FROM (SELECT *, unnest(range(1, k - m + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS m FROM c))),
+gone AS (SELECT DISTINCT c.lang, c.phrase FROM c JOIN subs s ON s.lang = c.lang AND s.phrase = c.phrase WHERE 100 * s.big >= 80 * c.a),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best ANTI JOIN gone USING (lang, phrase))
+SELECT lang, rank, phrase, a, l, r, n, score::bigint AS score FROM r JOIN n USING (lang) WHERE rank <= 2000
+"""
+
 ORACLES = {
     "op1_ngram_jaccard_join": OP1,
     "op2_exact_topk_search": OP2,
     "op7_benchmark_decontamination": OP7,
     "op8_line_dedup": OP8,
     "op9_warc": OP9,
+    "op11_phrase_collocations": OP11,
 }
