@@ -20,6 +20,8 @@ SQL_OPTIONS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Arrow batches bounded in bytes: long texts else make batches of tens of MB in the JVM and in each Python worker
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
 }
 
 
