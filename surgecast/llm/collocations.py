@@ -34,10 +34,12 @@ from surgecast.session import materialize, ship_package
 LONGEST = 4
 SHARDS = 4
 #: Words gathered before equal phrases are added up; bounds a task's arrays.
-CHUNK_WORDS = 1_500_000
+CHUNK_WORDS = 400_000
 #: Size of the bitmap of frequent phrases, in slices that tasks fill on their own.
-BITMAP_BYTES, SLICES = 1 << 24, 64
-ROWS = 1 << 17
+BITMAP_BYTES, SLICES = 1 << 23, 64
+ROWS = 1 << 16
+#: Bytes of text hashed at a time.
+SCAN_BYTES = 1 << 18
 
 #: A byte is part of a word / ends a piece.
 IN_WORD = words._class([(0x20, 0x20), (0x09, 0x0D), (0x21, 0x21), (0x2C, 0x2C), (0x2E, 0x2E), (0x3A, 0x3B), (0x3F, 0x3F)])
@@ -74,8 +76,9 @@ class Words:
         out = []
         for buf, starts, ends in self.text:
             size = ends - starts
-            to = np.cumsum(size)
-            at = np.arange(int(to[-1])) + np.repeat(starts - (to - size), size)
+            to = np.cumsum(size, dtype=np.int32)
+            at = np.arange(int(to[-1]), dtype=np.int32)
+            at += np.repeat((starts - (to - size)).astype(np.int32), size)
             off = np.concatenate([[0], to]).astype(np.int32)
             out.append(pa.StringArray.from_buffers(len(starts), pa.py_buffer(off), pa.py_buffer(buf[at])))
         return pa.concat_arrays(out)
@@ -152,7 +155,7 @@ def _grouped(batches: Iterator[pa.RecordBatch], keys: list[str], chunk_words: in
         for g in dict.fromkeys(group):
             rows = pa.array([i for i, x in enumerate(group) if x == g]) if len(set(group)) > 1 else None
             buf, off = words.utf8(text.take(rows) if rows is not None else text)
-            for a, z in words.chunks(off):
+            for a, z in words.chunks(off, SCAN_BYTES):
                 w = held.setdefault(g, Words())
                 before = w.size
                 w.add(buf[off[a] : off[z]], off[a : z + 1] - off[a], keep_text)
@@ -161,6 +164,8 @@ def _grouped(batches: Iterator[pa.RecordBatch], keys: list[str], chunk_words: in
                     yield {k: x for k, x in held.items() if x.size}
                     held, size = {}, 0
     yield {k: x for k, x in held.items() if x.size}
+    held = {}
+    words.release()
 
 
 def _counts(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -31,6 +31,17 @@ LOWER[65:91] += 32
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * MULT)
 
 
+def release() -> None:
+    """Give freed memory back to the system; a reused worker else keeps its peak."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # a C library without it
+        pass
+
+
 def _class(ranges: list[tuple[int, int]]) -> np.ndarray:
     out = np.ones(256, dtype=bool)
     for a, b in ranges:
