@@ -88,6 +88,58 @@ r AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC
 SELECT lang, rank, phrase, a, l, r, n, score::bigint AS score FROM r JOIN n USING (lang) WHERE rank <= 2000
 """
 
+_CRC_BYTE = "list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0]::ubigint[], lambda x, y: xor(x >> 1, 3988292384::ubigint * (x & 1)))"
+_CRC = f"xor(list_reduce(list_prepend(4294967295::ubigint, list_transform(range(1, length(key) + 1), lambda i: ord(substr(key, i, 1))::ubigint)), lambda c, b: {_CRC_BYTE}), 4294967295::ubigint)"
+_BARE = "trim({}, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
+
+
+def _edit(letter: str, cost: str, tail: str, said: str | None) -> str:
+    """SQL of the value (cost, audit, repaired lines) of an edit put before a tail."""
+    lines = f"{tail}.o" if said is None else f"list_prepend({said}, {tail}.o)"
+    return f"{{'c': {tail}.c + {cost}, 'a': '{letter}' || {tail}.a, 'o': {lines}}}"
+
+
+def _row_edits(q: int, given: str, tail: str) -> str:
+    """SQL of the best way to use a row in state ``q``, whose next new role is ``given``."""
+    kept = {0: "CASE x WHEN 's' THEN v1 WHEN 'u' THEN v2 END", 1: "CASE x WHEN 'u' THEN v2 END", 2: "CASE x WHEN 'a' THEN v3 END", 3: "CASE x WHEN 'u' THEN v2 END"}[q]
+    keep = _edit("K", "w", f"({kept})", "role || ':' || text")
+    rerole = _edit("R", "3 + w", tail, f"'{given}:' || text")
+    return f"list_min(list_filter([{_edit('D', '4', f'v{q}', None)}, CASE WHEN w IS NOT NULL THEN {keep} END, CASE WHEN w IS NOT NULL THEN {rerole} END], lambda e: e.c IS NOT NULL))"
+
+
+_INSERT_U, _INSERT_A = "'user:'", "'assistant:'"
+OP12 = f"""
+WITH RECURSIVE k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ') AS key FROM conversations),
+h AS (SELECT *, {_CRC} % 20 AS kind FROM k),
+d AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM h),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS again FROM d),
+f AS (SELECT *, left(role, 1) AS x, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS px,
+    CASE WHEN {_BARE.format("text")} = '' THEN 'blank' WHEN again > 1 THEN 'duplicate'
+      WHEN right({_BARE.format("text")}, 1) NOT IN ('.', '!', '?') THEN 'truncated' END AS fault FROM o),
+r AS (SELECT *, CASE WHEN fault IN ('blank', 'duplicate') THEN NULL WHEN fault = 'truncated' THEN 3 ELSE 0 END AS w FROM f),
+g AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE fault = 'blank') AS blank,
+    count(*) FILTER (WHERE fault = 'duplicate') AS duplicate, count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+    count(*) FILTER (WHERE px || x NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n FROM r GROUP BY 1),
+v AS (SELECT conv_id, n AS i, {{'c': 0, 'a': '', 'o': []::varchar[]}} AS v0, {{'c': 6, 'a': 'II', 'o': ['user:', 'assistant:']}} AS v1,
+    {{'c': 3, 'a': 'I', 'o': ['assistant:']}} AS v2, {{'c': 0, 'a': '', 'o': []::varchar[]}} AS v3 FROM g
+  UNION ALL
+  SELECT conv_id, i - 1, list_min([m0, {_edit("I", "3", "z2", _INSERT_U)}]), list_min([m1, {_edit("I", "3", "z2", _INSERT_U)}]), z2,
+    list_min([m3, {_edit("I", "3", "m2", _INSERT_U)}])
+  FROM (SELECT *, list_min([m2, {_edit("I", "3", "m3", _INSERT_A)}]) AS z2 FROM (
+    SELECT v.conv_id, v.i, {_row_edits(0, "user", "v2")} AS m0, {_row_edits(1, "user", "v2")} AS m1,
+      {_row_edits(2, "assistant", "v3")} AS m2, {_row_edits(3, "user", "v2")} AS m3
+    FROM v JOIN r ON r.conv_id IS NOT DISTINCT FROM v.conv_id AND r.i = v.i))),
+c AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT c.conv_id, coalesce(gaps, 0)::bigint AS gaps, coalesce(blank, 0)::bigint AS blank, coalesce(duplicate, 0)::bigint AS duplicate,
+  coalesce(truncated, 0)::bigint AS truncated, coalesce(illegal, 0)::bigint AS illegal, coalesce(v0.c, 0)::bigint AS cost,
+  coalesce(v0.a, '') AS audit, sha256(coalesce(array_to_string(v0.o, chr(10)), '')) AS repaired_sha256
+FROM c LEFT JOIN g ON g.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN v ON v.conv_id IS NOT DISTINCT FROM c.conv_id AND v.i = 0
+"""
+
 ORACLES = {
     "op1_ngram_jaccard_join": OP1,
     "op2_exact_topk_search": OP2,
@@ -95,4 +147,5 @@ ORACLES = {
     "op8_line_dedup": OP8,
     "op9_warc": OP9,
     "op11_phrase_collocations": OP11,
+    "op12_conversation_repair": OP12,
 }

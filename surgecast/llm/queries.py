@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surgecast.llm import collocations, decontaminate, html_extract, jaccard_join, langid, line_dedup, piece_codec, quality, sharedfiles, token_files, topk_search, warc
+from surgecast.llm import collocations, decontaminate, dialogue_repair, html_extract, jaccard_join, langid, line_dedup, piece_codec, quality, sharedfiles, token_files, topk_search, warc
 from surgecast.session import prepare_session
 
 PIECES, WORD_BPE, END_ID = "piece_bpe_32k.model", "word_bpe_49k.json", 2
@@ -85,4 +85,8 @@ def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_exact_topk_search, op3_quality_classifier, op4_language_id, op5_html_extraction, op6_sentencepiece_codec, op7_benchmark_decontamination, op8_line_dedup, op9_warc, op10_token_id_files, op11_phrase_collocations)}
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dialogue_repair.report(dialogue_repair.damage(_table(spark, sf_dir, "conversations")))
+
+
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_exact_topk_search, op3_quality_classifier, op4_language_id, op5_html_extraction, op6_sentencepiece_codec, op7_benchmark_decontamination, op8_line_dedup, op9_warc, op10_token_id_files, op11_phrase_collocations, op12_conversation_repair)}
