@@ -14,7 +14,6 @@ then the numbers of blocks and documents and the magic.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -26,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from surgecast.llm import sharedfiles, words
+from surgecast.llm.word_tokens import tool_of
 from surgecast.session import materialize, ship_package
 
 #: Selector: ids a word, bits an id. Selector 15 is the escape.
@@ -35,7 +35,6 @@ ESCAPE = 15
 MAGIC = b"S8BTOK1\n"
 BLOCK_IDS = 1 << 16
 FILE_IDS = 1 << 24
-KEPT_PARTS, KEPT_CHARS = 400_000, 64
 #: Stands for a null doc_id in the files.
 NO_ID = -(1 << 63)
 
@@ -170,109 +169,6 @@ def read_file(path: str) -> Iterator[tuple[int, np.ndarray]]:
             yield doc_id, ids[:n]
 
 
-class WordTokenizer:
-    """The tokenizers library with a table of parts between blanks.
-
-    The vocabulary drops white space and lowers case, so a text's ids are those
-    of its parts between spaces and new lines, joined; parts are kept in a
-    bounded table. A new part of printable ASCII is cut into words (WORD), and
-    the library's model encodes the new words in one call; ids of word ends
-    tell them apart. Other new parts go through the whole tokenizer in one
-    call, set apart by a digit 0, which is a word of its own; those that hold a
-    0 or may hold a special token are encoded alone.
-    """
-
-    #: The vocabulary's words, in lower-case ASCII.
-    WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^ a-z0-9]+")
-    END = "</w>"
-
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer, pre_tokenizers
-
-        self.tool, self.words = Tokenizer.from_file(path), Tokenizer.from_file(path)
-        self.words.normalizer, self.words.pre_tokenizer = None, pre_tokenizers.CharDelimiterSplit(" ")
-        vocab = self.tool.get_vocab()
-        self.border = vocab.get("0" + self.END)
-        self.ends = np.zeros(max(vocab.values()) + 1, bool)
-        self.ends[[i for t, i in vocab.items() if t.endswith(self.END)]] = True
-        self.parts: dict[str, bytes] = {}
-        marks = [chr(c) for c in range(33, 127)]
-        probe = " ".join([a + b for a in marks for b in marks] + ["a0b", "é0 é", "we're I'LL ''s it'd've"])
-        if self.border is None or self(probe).tolist() != self._ids([probe])[0].tolist():
-            raise ValueError("not a vocabulary of lower-case words that makes each digit a word of its own")
-        self.parts.clear()
-
-    def _ids(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, np.uint32) for e in self.tool.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
-
-    @staticmethod
-    def _cut(names: list[str], ids: np.ndarray, stops: np.ndarray, gap: int) -> dict[str, bytes]:
-        """Bytes of the ids of each name: up to its stop, then ``gap`` ids are passed over."""
-        if len(stops) != len(names):
-            raise ValueError("parts can't be told apart in their joint encoding")
-        raw, to = ids.tobytes(), (4 * stops).tolist()
-        return {n: raw[a:b] for n, a, b in zip(names, [0, *[x + 4 * gap for x in to]], to)}
-
-    def _encode(self, parts: list[str]) -> dict[str, bytes]:
-        """Ids of each part, as bytes."""
-        ascii_, other, alone = [], [], []
-        for p in parts:
-            if "<|" in p:
-                alone.append(p)
-            elif p.isascii() and p.isprintable():
-                ascii_.append(p)
-            else:
-                (alone if "0" in p else other).append(p)
-        got = {p: x.tobytes() for p, x in zip(alone, self._ids(alone))}
-        if other:
-            ids = self._ids([" 0 ".join(other)])[0]
-            got |= self._cut(other, ids, np.append(np.flatnonzero(ids == self.border), len(ids)), 1)
-        cut = [self.WORD.findall(p.lower()) for p in ascii_]
-        new = list({w for ws in cut for w in ws}.difference(self.parts))
-        known = {}
-        if new:
-            ids = np.array(self.words.encode_batch_fast([" ".join(new)], add_special_tokens=False)[0].ids, np.uint32)
-            known = self._cut(new, ids, np.flatnonzero(self.ends[ids]) + 1, 0)
-            self._keep(known)
-        table = self.parts
-        for p, ws in zip(ascii_, cut):
-            got[p] = b"".join([known[w] if w in known else table[w] for w in ws])
-        return got
-
-    def _keep(self, got: dict[str, bytes]) -> None:
-        self.parts.update((p, x) for p, x in got.items() if len(p) <= KEPT_CHARS)
-
-    def __call__(self, text: str) -> np.ndarray:
-        if text.isascii() and "<|" not in text:
-            text = text.lower()
-        parts = text.replace("\n", " ").split(" ")
-        kept = self.parts
-        try:
-            return np.frombuffer(b"".join(map(kept.__getitem__, parts)), np.uint32)
-        except KeyError:
-            if len(kept) >= KEPT_PARTS:
-                kept.clear()
-        new = set(parts).difference(kept)
-        got = self._encode(list(new))
-        self._keep(got)
-        try:
-            return np.frombuffer(b"".join(map(kept.__getitem__, parts)), np.uint32)
-        except KeyError:  # some are too long to be kept
-            return np.frombuffer(b"".join([kept[p] if p in kept else got[p] for p in parts]), np.uint32)
-
-
-_tools: dict[str, WordTokenizer] = {}
-
-
-def _tool(path: str) -> WordTokenizer:
-    if path not in _tools:
-        import os
-
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        _tools[path] = WordTokenizer(path)
-    return _tools[path]
-
-
 def write_tokens(docs: DataFrame, tokenizer: str, folder: str, end_id: int | None, file_ids: int = FILE_IDS) -> DataFrame:
     """Tokenize ``docs`` (doc_id, text) and write files in ascending doc_id order.
 
@@ -286,17 +182,18 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str, end_id: int | Non
     tail = np.array([] if end_id is None else [end_id], np.uint32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool, part, files, out = _tool(tokenizer), TaskContext.get().partitionId(), [], None
+        tool, part, files, out = tool_of(tokenizer), TaskContext.get().partitionId(), [], None
         for b in batches:
             _, off = words.utf8(b.column(1))
             for a, z in words.chunks(off):
-                for d, t in zip(b.column(0).slice(a, z - a).to_pylist(), b.column(1).slice(a, z - a).to_pylist()):
+                ids, at = tool.batch(b.column(1).slice(a, z - a))
+                for d, x, y in zip(b.column(0).slice(a, z - a).to_pylist(), at[:-1].tolist(), at[1:].tolist()):
                     if out is None or out.ids >= file_ids:
                         if out is not None:
                             out.close()
                         out = TokenFile(sharedfiles.unique_name(folder, ".s8b"))
                         files.append(out)
-                    out.add(NO_ID if d is None else d, np.concatenate([tool(t or ""), tail]))
+                    out.add(NO_ID if d is None else d, np.concatenate([ids[x:y], tail]))
         if out is not None:
             out.close()
         yield pa.RecordBatch.from_pydict(

@@ -8,7 +8,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from surgecast.llm import piece_codec, queries, sharedfiles, token_files, warc
+from surgecast.llm import piece_codec, queries, sharedfiles, token_files, warc, word_tokens
 
 ODD = [
     "", " ", "  ", "a", " a  b ", "\n", "a\n\nb", "▁", "a▁▁b", "tab\tand\x00nul", "é 𝄞 ☃ ​", "<s> </s> <0x0A> <unk>", "x" * 5000, " " * 3000,
@@ -113,9 +113,26 @@ def test_archives(spark):
 
 def test_word_tokenizer_parts():
     """Parts in the table give the library's ids of the whole text."""
-    tool = token_files.WordTokenizer(queries.tokenizer_path(queries.WORD_BPE))
+    tool = word_tokens.WordTokenizer(queries.tokenizer_path(queries.WORD_BPE))
     odd = ["<|startoftext|>", "<|EndOfText|>", "0", "10 20", "a0b 00", "İstanbul ΣΑΣ", "é ́x", "we're I'LL 'd", "''s \"'t", "\t\r\x0b", "٠١ ０²", "日本語", "😀🏽0", "a\x00b", "é0É", "Œuvre ß", "x" * 90 + "É", "A" * 300 + " 0", "", " ", "\n"]
     rng = np.random.default_rng(3)
     for _ in range(400):
         text = "".join(rng.choice(odd, rng.integers(0, 9)).tolist())
         assert tool(text).tolist() == tool.tool.encode(text, add_special_tokens=False).ids
+
+
+def test_word_tokenizer_batches(monkeypatch):
+    """Small segments, windows and tables, which start anew all the time, change nothing."""
+    for name, value in (("SEGMENT", 50), ("UNITS", 20), ("ENTRIES", 200), ("SLOTS", 1024), ("STORED", 300)):
+        monkeypatch.setattr(word_tokens, name, value)
+    tool = word_tokens.WordTokenizer(queries.tokenizer_path(queries.WORD_BPE))
+    rng = np.random.default_rng(4)
+    odd = ["<|endoftext|>", "<|START", "10 20", "İstanbul ", "we're ", "é ́x", "\t", "a\x00b ", "a\x00", "x" * 30, "X" * 24 + " ", "y" * 25, "", " ", "\n", "The, ", "cat;dog ", "Ünï ", "ÀÖØÞß×÷àÿ", "É,", "é\u0301", "\u0301 ", "Ā", "ÅÅ5ç "]
+    import pyarrow as pa
+
+    for _ in range(60):
+        texts = ["".join(rng.choice(odd, rng.integers(0, 12)).tolist()) for _ in range(rng.integers(0, 9))] + [None, ""]
+        ids, at = tool.batch(pa.array(texts, pa.string()))
+        for t, a, z in zip(texts, at[:-1], at[1:]):
+            assert ids[a:z].tolist() == tool.tool.encode(t or "", add_special_tokens=False).ids
+        assert at[-1] == len(ids) and at[0] == 0

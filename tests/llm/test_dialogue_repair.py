@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import random
 import re
+import sys
 from functools import lru_cache
 
 import pytest
@@ -12,6 +13,7 @@ from hypothesis import strategies as st
 
 from surgecast.llm import dialogue_repair as dr
 
+sys.setrecursionlimit(20_000)
 KIND = "conv_id long, turn long, role string, text string"
 
 
