@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surgecast.llm import collocations, decontaminate, dialogue_repair, html_extract, jaccard_join, langid, line_dedup, piece_codec, quality, sharedfiles, token_files, topk_search, warc
+from surgecast.llm import collocations, decontaminate, dialogue_repair, html_extract, jaccard_join, langid, line_dedup, packing, piece_codec, quality, sharedfiles, token_files, topk_search, warc
 from surgecast.session import prepare_session
 
 PIECES, WORD_BPE, END_ID = "piece_bpe_32k.model", "word_bpe_49k.json", 2
@@ -53,9 +53,7 @@ def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = tokenizer_path(PIECES)
-    ids = piece_codec.tokenize(_table(spark, sf_dir, "documents").select("doc_id", "text"), path).drop("text")
-    both = piece_codec.detokenize(ids, path)
+    both = piece_codec.tokenize(_table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path(PIECES), decoded="decoded")
     text = F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256)
     return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), text.alias("ids_sha256"), F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
 
@@ -89,4 +87,9 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dialogue_repair.report(dialogue_repair.damage(_table(spark, sf_dir, "conversations")))
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_exact_topk_search, op3_quality_classifier, op4_language_id, op5_html_extraction, op6_sentencepiece_codec, op7_benchmark_decontamination, op8_line_dedup, op9_warc, op10_token_id_files, op11_phrase_collocations, op12_conversation_repair)}
+def op13_sequence_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(_table(spark, sf_dir, "documents"), tokenizer_path(WORD_BPE), END_ID)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_exact_topk_search, op3_quality_classifier, op4_language_id, op5_html_extraction, op6_sentencepiece_codec, op7_benchmark_decontamination, op8_line_dedup, op9_warc, op10_token_id_files, op11_phrase_collocations, op12_conversation_repair, op13_sequence_packing)}
