@@ -25,17 +25,78 @@ from surgecast.llm import words
 from surgecast.session import ship_package
 
 MARK = "▁"
-#: Parts kept per worker, and the longest part that is kept.
-KEPT_PARTS, KEPT_CHARS = 400_000, 48
+#: Parts and pairs kept per worker (about 260 and 130 bytes each, the parts in two
+#: generations), and the longest part that is kept.
+KEPT_PARTS, KEPT_PAIRS, KEPT_CHARS = 75_000, 200_000, 48
 
 
-class PieceCodec:
+class PieceDecoder:
+    """Texts of a SentencePiece model's ids."""
+
+    def __init__(self, path: str):
+        import sentencepiece
+
+        sp = sentencepiece.SentencePieceProcessor(model_file=path)
+        n = sp.get_piece_size()
+        kinds = (sp.is_unknown, sp.is_control, sp.is_byte, sp.is_unused)
+        plain = {i: sp.id_to_piece(i) for i in range(n) if not any(k(i) for k in kinds)}
+        self.bytes_of = np.empty(n, object)
+        for i in range(n):
+            self.bytes_of[i] = plain[i].replace(MARK, " ").encode() if i in plain else b""
+        self.is_byte = np.zeros(n, bool)
+        for i in range(n):
+            if sp.is_byte(i):
+                self.bytes_of[i], self.is_byte[i] = bytes([int(sp.id_to_piece(i)[3:5], 16)]), True
+        self.bytes_of[sp.unk_id()] = " ⁇ ".encode()
+        self.dummy = np.array([plain.get(i, "").startswith(MARK) for i in range(n)])
+
+    def decode(self, ids: np.ndarray) -> str:
+        """Text of ids; control ids have none, and bytes that are no UTF-8 give
+        one replacement character each."""
+        ids = np.asarray(ids, np.int64)
+        raw = b"".join(self.bytes_of[ids].tolist())
+        try:
+            text = raw.decode("utf-8")
+        except UnicodeDecodeError:
+            text = self._decode_runs(ids)
+        shown = np.flatnonzero(np.array([bool(x) for x in self.bytes_of[ids[:8]]]))
+        first = ids[shown[0]] if len(shown) else -1
+        return text[1:] if first >= 0 and self.dummy[first] else text
+
+    def _decode_runs(self, ids: np.ndarray) -> str:
+        out, run = [], b""
+
+        def flush(run: bytes) -> str:
+            text = ""
+            while run:
+                for n in (1, 2, 3, 4):
+                    try:
+                        text += run[:n].decode("utf-8")
+                        break
+                    except UnicodeDecodeError:
+                        continue
+                else:
+                    text, n = text + "�", 1
+                run = run[n:]
+            return text
+
+        for i in ids.tolist():
+            if self.is_byte[i]:
+                run += self.bytes_of[i]
+                continue
+            out += [flush(run), self.bytes_of[i].decode("utf-8")]
+            run = b""
+        return "".join([*out, flush(run)])
+
+
+class PieceCodec(PieceDecoder):
     """Encoder and decoder of one BPE SentencePiece model."""
 
     def __init__(self, path: str):
         import ahocorasick
         import sentencepiece
 
+        super().__init__(path)
         sp = sentencepiece.SentencePieceProcessor(model_file=path)
         n = sp.get_piece_size()
         self.eos = sp.eos_id()
@@ -63,18 +124,10 @@ class PieceCodec:
                 self.auto.add_word(p, (len(p), i))
         self.auto.make_automaton()
         self.single = {p for p in ids if len(p) == 1}
-        self.checked: dict[tuple[int, int], bool] = {}
+        self.checked: dict[int, bool] = {}
         self.parts: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.cut = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
-        self.bytes_of = np.empty(n, object)
-        for i in range(n):
-            self.bytes_of[i] = plain[i].replace(MARK, " ").encode() if i in plain else b""
-        for b, i in self.byte_id.items():
-            self.bytes_of[i] = bytes([b])
-        self.bytes_of[sp.unk_id()] = " ⁇ ".encode()
-        self.is_byte = np.zeros(n, bool)
-        self.is_byte[list(self.byte_id.values())] = True
-        self.dummy = np.array([plain.get(i, "").startswith(MARK) for i in range(n)])
 
     def _reachable(self, piece: str, goal: int, ids: dict[str, int]) -> bool:
         """Merges alone lead from the piece's characters to it; notes the last merge."""
@@ -92,7 +145,7 @@ class PieceCodec:
     def compatible(self, a: int, b: int) -> bool:
         """Whether a joined with b is encoded as (a, b): undo the merges of both
         from the latest on; no pair across the border may merge earlier."""
-        known = self.checked.get((a, b))
+        known = self.checked.get(a << 32 | b)
         if known is not None:
             return known
         left, right, before, ok = a, b, 1 << 60, True
@@ -108,9 +161,9 @@ class PieceCodec:
                 before, left = x, self.split[left][1]
             else:  # at equal ranks the left merge comes first, so one across the border would, too
                 before, right = y + 1, self.split[right][0]
-        if len(self.checked) >= 2_000_000:
+        if len(self.checked) >= KEPT_PAIRS:
             self.checked.clear()
-        self.checked[a, b] = ok
+        self.checked[a << 32 | b] = ok
         return ok
 
     def _part(self, part: str) -> list[int]:
@@ -149,82 +202,51 @@ class PieceCodec:
         try:
             return np.frombuffer(b"".join(map(kept.__getitem__, parts)), np.uint32)
         except KeyError:
-            if len(kept) >= KEPT_PARTS:
-                kept.clear()
+            pass
         out = []
         for p in parts:
             x = kept.get(p)
             if x is None:
-                x = np.array(self._part(p), np.uint32).tobytes()
+                x = self.older.get(p)
+                if x is None:
+                    x = np.array(self._part(p), np.uint32).tobytes()
                 if len(p) <= KEPT_CHARS:
+                    if len(kept) >= KEPT_PARTS:  # what isn't used again soon goes with the older ones
+                        self.older, self.parts = kept, {}
+                        kept = self.parts
                     kept[p] = x
             out.append(x)
         return np.frombuffer(b"".join(out), np.uint32)
 
-    def decode(self, ids: np.ndarray) -> str:
-        """Text of ids; control ids have none, and bytes that are no UTF-8 give
-        one replacement character each."""
-        ids = np.asarray(ids, np.int64)
-        raw = b"".join(self.bytes_of[ids].tolist())
-        try:
-            text = raw.decode("utf-8")
-        except UnicodeDecodeError:
-            text = self._decode_runs(ids)
-        shown = np.flatnonzero(np.array([bool(x) for x in self.bytes_of[ids[:8]]]))
-        first = ids[shown[0]] if len(shown) else -1
-        return text[1:] if first >= 0 and self.dummy[first] else text
 
-    def _decode_runs(self, ids: np.ndarray) -> str:
-        out, run = [], b""
+_tools: dict[tuple[type, str], PieceDecoder] = {}
 
-        def flush(run: bytes) -> str:
-            text = ""
-            while run:
-                for n in (1, 2, 3, 4):
-                    try:
-                        text += run[:n].decode("utf-8")
-                        break
-                    except UnicodeDecodeError:
-                        continue
-                else:
-                    text, n = text + "�", 1
-                run = run[n:]
-            return text
-
-        for i in ids.tolist():
-            if self.is_byte[i]:
-                run += self.bytes_of[i]
-                continue
-            out += [flush(run), self.bytes_of[i].decode("utf-8")]
-            run = b""
-        return "".join([*out, flush(run)])
 
+def codec(path: str, kind: type = PieceCodec) -> PieceCodec:
+    """The worker's codec (or only decoder) of a model file."""
+    if (kind, path) not in _tools:
+        _tools[kind, path] = kind(path)
+    return _tools[kind, path]
 
-_codecs: dict[str, PieceCodec] = {}
 
-
-def codec(path: str) -> PieceCodec:
-    """The worker's codec of a model file."""
-    if path not in _codecs:
-        _codecs[path] = PieceCodec(path)
-    return _codecs[path]
-
-
-def _with(batch: pa.RecordBatch, names: list[str], name: str, col: pa.Array) -> pa.RecordBatch:
-    cols = dict(zip(batch.schema.names, batch.columns))
-    cols[name] = col
+def _with(batch: pa.RecordBatch, names: list[str], new: dict[str, pa.Array]) -> pa.RecordBatch:
+    cols = dict(zip(batch.schema.names, batch.columns)) | new
     return pa.RecordBatch.from_arrays([cols[n] for n in names], names=names)
 
 
-def tokenize(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", end_id: bool = True) -> DataFrame:
-    """Add column ``ids`` (array of int) with the encoding of whole texts.
+def tokenize(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", end_id: bool = True, decoded: str | None = None) -> DataFrame:
+    """Add column ``ids`` (array of int) with the encoding of whole texts and, if
+    named, ``decoded`` with the text that these ids give back.
 
-    Null and empty texts have the end id only. Rows are handled one by one, so
-    repeated rows stay and an empty table stays empty; other columns pass
-    through, and a column named ``ids`` is replaced.
+    Both in one pass, so a task needs one worker and one set of tables. Null and
+    empty texts have the end id only. Rows are handled one by one, so repeated
+    rows stay and an empty table stays empty; other columns pass through, and
+    columns named ``ids`` or ``decoded`` are replaced.
     """
     ship_package(docs.sparkSession)
-    out = docs.drop(ids).schema.add(ids, T.ArrayType(T.IntegerType()))
+    out = docs.drop(ids, *([decoded] if decoded else [])).schema.add(ids, T.ArrayType(T.IntegerType()))
+    if decoded:
+        out = out.add(decoded, "string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = codec(path)
@@ -235,25 +257,32 @@ def tokenize(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", e
             for a, z in words.chunks(off):
                 got = [np.concatenate([tool.encode(x or ""), tail]) for x in col.slice(a, z - a).to_pylist()]
                 ends = np.cumsum([0, *map(len, got)]).astype(np.int32)
-                flat = pa.array(np.concatenate(got).astype(np.int32))
-                yield _with(b.slice(a, z - a), out.names, ids, pa.ListArray.from_arrays(pa.array(ends), flat))
+                new = {ids: pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(got).astype(np.int32)))}
+                if decoded:
+                    new[decoded] = pa.array([tool.decode(x) for x in got], pa.string())
+                yield _with(b.slice(a, z - a), out.names, new)
+        words.release()
 
     return docs.mapInArrow(run, out)
 
 
 def detokenize(docs: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
-    """Add column ``text`` with the text of the ids (null: empty)."""
+    """Add column ``text`` with the text of the ids (null: empty).
+
+    Row by row: repeated rows stay, an empty table stays empty, other columns
+    pass through, and a column named ``text`` is replaced.
+    """
     ship_package(docs.sparkSession)
     out = docs.drop(text).schema.add(text, "string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool = codec(path)
+        tool = codec(path, PieceDecoder)
         for b in batches:
             col = b.column(b.schema.names.index(ids))
             ends = np.cumsum([0, *[len(x) if x.is_valid else 0 for x in col]])
             flat = col.flatten().to_numpy(zero_copy_only=False)
             for a, z in words.chunks(ends, words.CHUNK_BYTES // 4):
                 got = [tool.decode(flat[ends[i] : ends[i + 1]]) for i in range(a, z)]
-                yield _with(b.slice(a, z - a), out.names, text, pa.array(got, pa.string()))
+                yield _with(b.slice(a, z - a), out.names, {text: pa.array(got, pa.string())})
 
     return docs.mapInArrow(run, out)

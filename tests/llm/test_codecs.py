@@ -52,7 +52,10 @@ def test_piece_tables_with_clashing_columns(spark):
     got = sorted((r.doc_id, r.ids, r.decoded) for r in out.collect())
     assert got[0] == (1, [2], "") and got[1] == (2, [2], "")
     assert got[2] == got[3] and got[3][2] == "the cat" and got[3][1][-1] == 2
-    assert piece_codec.tokenize(df.limit(0), path).count() == 0
+    assert piece_codec.tokenize(df.limit(0), path).count() == 0 and piece_codec.detokenize(out.limit(0), path).count() == 0
+    both = piece_codec.tokenize(df.withColumnRenamed("ids", "decoded"), path, decoded="decoded")
+    assert sorted((r.doc_id, r.ids, r.decoded) for r in both.collect()) == got
+    assert piece_codec.detokenize(out.withColumnRenamed("decoded", "other"), path).columns == ["doc_id", "text", "ids", "other", "decoded"]
 
 
 @settings(max_examples=200, deadline=None)
