@@ -58,9 +58,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, with digests of the ids and of their decoding."""
-    path = queries.tokenizer_path(queries.PIECES)
-    ids = piece_codec.tokenize(docs, path).drop("text")
-    both = piece_codec.detokenize(ids, path)
+    both = piece_codec.tokenize(docs, queries.tokenizer_path(queries.PIECES), decoded="decoded").drop("text")
     digests = {
         "n_tokens": F.size("ids").cast("long"),
         "ids_sha256": F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256),
