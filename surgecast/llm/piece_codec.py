@@ -6,15 +6,18 @@ the pieces ending there with an Aho-Corasick automaton and keeps the one whose
 pair with the last token of the remaining prefix is compatible: encoding both
 joined gives both again. The ids are recovered backwards from the table.
 
-Pieces hold the space mark only in front, so a text is cut before runs of the
-mark and around new lines (in no piece) without changing its encoding; the
-encodings of short parts are kept in a table of bounded size per worker.
+A text may be cut between two characters that stand side by side in no piece,
+without changing its encoding. Pieces hold the space mark only in front and no
+new line, so a text is cut before runs of the mark and around new lines, and
+words are cut from the punctuation that the vocabulary never joins to letters.
+The encodings of short parts are kept in a table of bounded size per worker.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+import string
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +30,7 @@ from surgecast.session import ship_package
 MARK = "▁"
 #: Parts and pairs kept per worker (about 260 and 130 bytes each, the parts in two
 #: generations), and the longest part that is kept.
-KEPT_PARTS, KEPT_PAIRS, KEPT_CHARS = 75_000, 200_000, 48
+KEPT_PARTS, KEPT_PAIRS, KEPT_CHARS = 200_000, 600_000, 48
 
 
 class PieceDecoder:
@@ -123,11 +126,22 @@ class PieceCodec(PieceDecoder):
             if self._reachable(p, i, ids):
                 self.auto.add_word(p, (len(p), i))
         self.auto.make_automaton()
-        self.single = {p for p in ids if len(p) == 1}
         self.checked: dict[int, bool] = {}
+        self.pairs = n
         self.parts: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
-        self.cut = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
+        self.cut = self._cuts(plain.values())
+
+    @staticmethod
+    def _cuts(pieces: Iterable[str]) -> re.Pattern:
+        """Pattern of the parts: words, and runs of marks that stand beside a letter in no piece."""
+        letter = "[A-Za-zÀ-ÖØ-öø-ÿ]"
+        joined = {m for p in pieces for a, b in zip(p, p[1:]) for m, x in ((a, b), (b, a)) if re.match(letter, x)}
+        marks = "".join(re.escape(m) for m in string.punctuation if m not in joined)
+        whole = f"{MARK}*[^{MARK}\n]+|{MARK}+|\n"
+        if not marks:
+            return re.compile(whole)
+        return re.compile(f"{MARK}*{letter}++(?=[{marks}{MARK}\n]|\\Z)|{MARK}*[{marks}]++(?=[{MARK}\n]|{letter}|\\Z)|{whole}")
 
     def _reachable(self, piece: str, goal: int, ids: dict[str, int]) -> bool:
         """Merges alone lead from the piece's characters to it; notes the last merge."""
@@ -145,9 +159,6 @@ class PieceCodec(PieceDecoder):
     def compatible(self, a: int, b: int) -> bool:
         """Whether a joined with b is encoded as (a, b): undo the merges of both
         from the latest on; no pair across the border may merge earlier."""
-        known = self.checked.get(a << 32 | b)
-        if known is not None:
-            return known
         left, right, before, ok = a, b, 1 << 60, True
         while True:
             j = self.joined.get((left, right))
@@ -163,30 +174,28 @@ class PieceCodec(PieceDecoder):
                 before, right = y + 1, self.split[right][0]
         if len(self.checked) >= KEPT_PAIRS:
             self.checked.clear()
-        self.checked[a << 32 | b] = ok
+        self.checked[a * self.pairs + b] = ok
         return ok
 
     def _part(self, part: str) -> list[int]:
         """Ids of a part, from its prefix table."""
         n = len(part)
-        last: list[int] = [-1] * (n + 1)  # last token of each prefix; -2: a character in no piece
+        last = [-1] * (n + 1)  # last token of each prefix; -1: a character in no piece
         size = [1] * (n + 1)
-        ends: list[list[tuple[int, int]]] = [[] for _ in range(n + 1)]
-        for at, hit in self.auto.iter(part):
-            ends[at + 1].append(hit)
-        for e in range(1, n + 1):
-            if part[e - 1] not in self.single:
-                last[e] = -2
-                continue
-            for length, i in ends[e]:
+        known, pairs = self.checked.get, self.pairs
+        for at, (length, i) in self.auto.iter(part):  # by end, the longest piece first
+            e = at + 1
+            if last[e] < 0:
                 before = last[e - length]
-                if before < 0 or self.compatible(before, i):
-                    last[e], size[e] = i, length
-                    break
+                if before >= 0:
+                    ok = known(before * pairs + i)
+                    if not (self.compatible(before, i) if ok is None else ok):
+                        continue
+                last[e], size[e] = i, length
         out: list[int] = []
         e = n
         while e:
-            if last[e] == -2:
+            if last[e] < 0:
                 out.extend(self.byte_id[b] for b in reversed(part[e - 1].encode("utf-8")))
             else:
                 out.append(last[e])
@@ -198,24 +207,20 @@ class PieceCodec(PieceDecoder):
         if not text:
             return np.zeros(0, np.uint32)
         parts = self.cut.findall(MARK + text.replace(" ", MARK))
-        kept = self.parts
-        try:
-            return np.frombuffer(b"".join(map(kept.__getitem__, parts)), np.uint32)
-        except KeyError:
-            pass
-        out = []
-        for p in parts:
-            x = kept.get(p)
-            if x is None:
-                x = self.older.get(p)
+        out = list(map(self.parts.get, parts))
+        if None in out:
+            kept, older = self.parts, self.older
+            for i in [i for i, x in enumerate(out) if x is None]:
+                p = parts[i]
+                x = kept.get(p) or older.get(p)
                 if x is None:
                     x = np.array(self._part(p), np.uint32).tobytes()
                 if len(p) <= KEPT_CHARS:
                     if len(kept) >= KEPT_PARTS:  # what isn't used again soon goes with the older ones
                         self.older, self.parts = kept, {}
-                        kept = self.parts
+                        kept, older = self.parts, self.older
                     kept[p] = x
-            out.append(x)
+                out[i] = x
         return np.frombuffer(b"".join(out), np.uint32)
 
 
