@@ -171,8 +171,9 @@ def fixed_gap(df: DataFrame, ts: str = "date_utc", gap: tuple = ("2020-03-13", "
 
 
 def guard(df: DataFrame, condition: Column, message: str) -> DataFrame:
-    """FIL16: fail the job when ``condition`` is false on the one-row ``df``."""
-    return df.withColumn("_guard", F.assert_true(condition, F.lit(message))).drop("_guard")
+    """FIL16: the rows of ``df``; the job fails with ``message`` at the first row
+    for which ``condition`` isn't true (a filter, which no projection can prune)."""
+    return df.where(F.when(condition, F.lit(True)).otherwise(F.raise_error(F.lit(message)).cast("boolean")))
 
 
 def as_datetime(v) -> datetime:

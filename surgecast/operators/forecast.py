@@ -13,6 +13,7 @@ from pyspark.sql.window import Window
 from surgecast.functions.scalar import clip_lower
 from surgecast.operators import decompose as dc
 from surgecast.operators import series as ser
+from surgecast.operators.stl import stl_decompose
 from surgecast.session import materialize
 
 Keys = Sequence[str]
@@ -34,13 +35,17 @@ class ForecastConfig:
 
 
 def residual_outliers(grid: DataFrame, keys: Keys, value: str, period: int, sigmas: float = 4.0,
-                      out: str | None = None) -> DataFrame:
-    """TS3 (classical form): decompose with the daily period; residuals outside
-    mean +/- ``sigmas`` sample standard deviations are set to null in ``out``.
+                      out: str | None = None, method: str = "stl") -> DataFrame:
+    """TS3: residuals of the daily decomposition outside mean +/- ``sigmas``
+    sample standard deviations are set to null in ``out``.
 
+    ``method``: ``stl``, or ``classical`` (moving averages, all window functions).
     ``grid`` is a complete regular series (``_i, _n`` indexed)."""
     out = out or f"{value}_cleaned"
-    d, _ = dc.decompose(grid, keys, value, period, prefix="_ol_", indexed=True)
+    if method == "stl":
+        d = stl_decompose(grid, keys, "_i", value, period, prefix="_ol_")
+    else:
+        d, _ = dc.decompose(grid, keys, value, period, prefix="_ol_", indexed=True)
     w = Window.partitionBy(*keys)
     mu, sd = F.avg("_ol_resid").over(w), F.stddev_samp("_ol_resid").over(w)
     bad = (F.col("_ol_resid") < mu - sigmas * sd) | (F.col("_ol_resid") > mu + sigmas * sd)

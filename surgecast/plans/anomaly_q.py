@@ -8,6 +8,7 @@ from surgecast.functions.text import annotation_text
 from surgecast.operators import anomaly as an
 from surgecast.operators import calendar as cal_ops
 from surgecast.plans.events import GRAIN, _attributed
+from surgecast.operators import forest as fo
 from surgecast.operators import islands as isl
 from surgecast.operators import series as ser
 from surgecast.plans.forecast_q import hourly_complete
@@ -126,8 +127,8 @@ def forest_scores(spark, sf_dir):
     f = forest_frame(t)
     feats = [c for c in f.columns if c != "datetime"]
     train = ser.slice_days(f, "datetime", "2024-01-20", 19)
-    trees = an.rcf_fit(train, feats, key=["datetime"])
-    scored = an.rcf_score(f, trees, feats)
+    trees = fo.rcf_fit(train, feats, key=["datetime"])
+    scored = fo.rcf_score(f, trees, feats)
     out = an.quantile_flags(scored, "score", [0.95, 0.99])
     return finish(out.select("datetime", "score", "`anomaly_0.95`", "`anomaly_0.99`"))
 
@@ -199,8 +200,8 @@ def metric_anomaly_periods(spark, sf_dir):
     t = Tables(spark, sf_dir)
     f = forest_frame(t)
     feats = [c for c in f.columns if c != "datetime"]
-    trees = an.rcf_fit(ser.slice_days(f, "datetime", "2024-01-20", 19), feats, key=["datetime"])
-    scored = an.quantile_flags(an.rcf_score(f, trees, feats), "score", [0.95, 0.99])
+    trees = fo.rcf_fit(ser.slice_days(f, "datetime", "2024-01-20", 19), feats, key=["datetime"])
+    scored = an.quantile_flags(fo.rcf_score(f, trees, feats), "score", [0.95, 0.99])
     long = None
     for m in ["error_rate", "cpu_util"]:
         part = f.select(F.lit(m).alias("series_id"), F.col("datetime").alias("ts"), F.col(m).alias("value"))

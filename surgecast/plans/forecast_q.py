@@ -182,7 +182,7 @@ def trend_forecast_poly(spark, sf_dir):
 def residual_outliers_clean(spark, sf_dir):
     """Points whose daily-decomposition residual is beyond 4 sigma become null."""
     t = Tables(spark, sf_dir)
-    out = fc.residual_outliers(hourly_complete(t), ["series_id"], "value", DAY, 4.0, out="cleaned")
+    out = fc.residual_outliers(hourly_complete(t), ["series_id"], "value", DAY, 4.0, out="cleaned", method="classical")
     return finish(out.select("series_id", "ts", "value", "cleaned"))
 
 

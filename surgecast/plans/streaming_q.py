@@ -55,9 +55,10 @@ def stream_dedupe_points(spark, sf_dir):
     return finish(out)
 
 
-@query("stream_zscore_signals", ops=("ST3",), sql=_zscore_sql())
+@query("stream_zscore_signals", ops=("ST3",), sql=f"""WITH whole AS ({_zscore_sql()})
+SELECT * FROM whole WHERE datetime <= (SELECT max(datetime) FROM whole) - INTERVAL 1 HOUR""")
 def stream_zscore_signals(spark, sf_dir):
-    """The smoothed z-score as stateful stream processing over hourly metric files."""
+    """The smoothed z-score as stateful stream processing over hourly metric files, up to the watermark."""
     t = Tables(spark, sf_dir)
     al = aligned_metrics(t)
     long = None

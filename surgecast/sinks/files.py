@@ -67,8 +67,8 @@ def write_dated(df: DataFrame, root: str, date_col: str = "date", fmt: str = "pa
     with a ``_SUCCESS`` marker once the job has committed.
 
     Dynamic partition overwrite commits through a staging folder, which does
-    not leave Spark's own marker in place, so the markers are written after
-    the commit (the dates of one write are a handful of values)."""
+    not leave Spark's own marker in place, so after the commit every folder
+    without a marker (a rewritten folder has lost its own) gets one."""
     spark = df.sparkSession
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
@@ -76,8 +76,12 @@ def write_dated(df: DataFrame, root: str, date_col: str = "date", fmt: str = "pa
         df.write.mode("overwrite").partitionBy(date_col).format(fmt).save(root)
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
-    for (d,) in df.select(F.col(date_col).cast("string")).distinct().collect():
-        _touch(spark, f"{root.rstrip('/')}/{date_col}={d}/_SUCCESS")
+    jroot = spark._jvm.org.apache.hadoop.fs.Path(root)
+    fs = jroot.getFileSystem(spark._jsc.hadoopConfiguration())
+    for folder in [s.getPath() for s in fs.listStatus(jroot) if s.getPath().getName().startswith(f"{date_col}=")]:
+        marker = spark._jvm.org.apache.hadoop.fs.Path(folder, "_SUCCESS")
+        if not fs.exists(marker):
+            fs.create(marker, True).close()
     _touch(spark, f"{root.rstrip('/')}/_SUCCESS")
     return root
 

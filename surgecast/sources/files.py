@@ -73,3 +73,25 @@ def dictionary_lookup(mapping: Column, key: Column, default_key: str = "default"
 def read_json_dictionary(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """SRC9: a small JSON dictionary (one object per line) with a declared schema."""
     return spark.read.schema(schema).json(path)
+
+
+def nested_lookup(df: DataFrame, dictionary: DataFrame, key: str, inner: str, out: str, default_key: str = "default") -> DataFrame:
+    """SRC9: ``dictionary[key][inner]`` for each row, ``dictionary`` having columns
+    (``key``, models map). An unknown inner key takes its map's default, an
+    unknown key the default key's map. Keys of the dictionary are taken to be
+    distinct; a row without any match has null."""
+    own = dictionary.select(F.col(key), F.col("models").alias("_own"))
+    rest = dictionary.where(F.col(key) == default_key).select(F.col("models").alias("_rest"))
+    found = df.join(own, key, "left").withColumn("_rest", rest.agg(F.first("_rest")).scalar())
+    model = F.coalesce(dictionary_lookup(F.col("_own"), F.col(inner), default_key), dictionary_lookup(F.col("_rest"), F.col(inner), default_key))
+    return found.withColumn(out, model).drop("_own", "_rest")
+
+
+#: Columns of a saved recommendation.
+RECOMMENDATION = "interval_id string, service string, start_ds timestamp, end_ds timestamp, n_tasks long"
+
+
+def read_recommendations(spark: SparkSession, root: str, part: str = "day") -> DataFrame:
+    """SRC5: JSON recommendations in dated folders; the folder's date is a column,
+    so a choice of dates reads the chosen folders only."""
+    return spark.read.schema(f"{RECOMMENDATION}, {part} date").json(root)

@@ -1,14 +1,15 @@
 """Streaming operators (ST1-ST4).
 
 Each takes a streaming DataFrame and returns a streaming DataFrame; state is
-bounded by watermarks (ST1, ST2, ST4) or by a fixed-size window per key
-(ST3). ``run_to_table`` runs a query with the ``availableNow`` trigger into a
+bounded by watermarks, in ST3 also by a fixed-size window per key that
+expires. ``run_to_table`` runs a query with the ``availableNow`` trigger into a
 Parquet sink with its checkpoint under the session's shared checkpoint folder
 (restartable after executor or driver loss) and returns the written table.
 """
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -51,25 +52,51 @@ def dedupe_points(stream: DataFrame, keys: Sequence[str], ts: str = "ts", *, wat
     return s.withWatermark(ts, watermark).dropDuplicatesWithinWatermark([*keys, ts])
 
 
-def zscore_stream(stream: DataFrame, key: str, ts: str, value: str, *, lag: int, threshold: float, influence: float) -> DataFrame:
-    """ST3: smoothed z-score online. State per key: the last ``lag`` filtered
-    values (bounded by ``lag``)."""
+def zscore_stream(stream: DataFrame, key: str, ts: str, value: str, *, lag: int, threshold: float, influence: float,
+                  watermark: str = "1 hour", idle: str = "7 days") -> DataFrame:
+    """ST3: smoothed z-score online, in time order whatever the order of arrival.
+
+    Points wait in the key's state until the watermark has passed them and are
+    then scored by time, so points that arrive in order or shuffled within the
+    watermark give the batch result. Later ones are dropped. State per key: the
+    last ``lag`` filtered values and the points of one watermark's length; a key
+    without points for ``idle`` (event time) loses its state and starts anew.
+    Points the watermark hasn't passed at the end of a bounded run wait for the next.
+    """
     out_schema = T.StructType([
         T.StructField(key, stream.schema[key].dataType), T.StructField(ts, stream.schema[ts].dataType),
         T.StructField(value, T.DoubleType()), T.StructField("signal", T.IntegerType()),
         T.StructField("avg_filter", T.DoubleType()), T.StructField("std_filter", T.DoubleType()),
     ])
-    state_schema = T.StructType([T.StructField("window", T.ArrayType(T.DoubleType()))])
+    numbers, times = T.ArrayType(T.DoubleType()), T.ArrayType(T.LongType())
+    state_schema = T.StructType([T.StructField("window", numbers), T.StructField("times", times), T.StructField("values", numbers), T.StructField("newest", T.LongType())])
+    idle_ms = int(pd.Timedelta(idle).total_seconds() * 1000)
+    names = [f.name for f in out_schema.fields]
 
     def step(k, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        score = SmoothedScore(lag, threshold, influence, state.get[0] if state.exists else ())
-        pdf = pd.concat(list(batches)).sort_values(ts, kind="mergesort")
-        rows = [(k[0], t, y, *score.push(y)) for t, y in zip(pdf[ts], pdf[value].astype(float))]
-        state.update((score.window(),))
-        yield pd.DataFrame(rows, columns=[key, ts, value, "signal", "avg_filter", "std_filter"])
-
-    return stream.groupBy(key).applyInPandasWithState(
-        step, out_schema, state_schema, "append", GroupStateTimeout.NoTimeout)
+        passed = state.getCurrentWatermarkMs()
+        window, at, held, newest = state.get if state.exists else ((), (), (), 0)
+        waiting = list(zip(at, held))
+        for pdf in batches:
+            micros = pdf[ts].astype("datetime64[us]").astype("int64")
+            waiting += [p for p in zip(micros.tolist(), pdf[value].astype(float).tolist()) if p[0] > passed * 1000]
+        waiting.sort(key=lambda p: p[0])
+        newest = max([newest, *(p[0] for p in waiting)])
+        due = bisect.bisect_right(waiting, passed * 1000, key=lambda p: p[0])
+        score = SmoothedScore(lag, threshold, influence, list(window))
+        rows = [(k[0], pd.Timestamp(t, unit="us"), y, *score.push(y)) for t, y in waiting[:due]]
+        waiting = waiting[due:]
+        if not waiting and passed >= newest // 1000 + idle_ms:
+            state.remove()
+        else:
+            state.update((score.window(), [t for t, _ in waiting], [y for _, y in waiting], newest))
+            wake = waiting[0][0] // 1000 + 1 if waiting else newest // 1000 + idle_ms
+            state.setTimeoutTimestamp(max(wake, passed + 1))
+        if rows:
+            yield pd.DataFrame(rows, columns=names)
+
+    s = stream.withWatermark(ts, watermark)
+    return s.groupBy(key).applyInPandasWithState(step, out_schema, state_schema, "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def run_to_table(spark: SparkSession, stream: DataFrame, name: str, *, mode: str = "append") -> DataFrame:

@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from surgecast.operators import anomaly as an
+from surgecast.operators import forest as fo
 from surgecast.operators import decompose as dc
 
 
@@ -69,17 +70,17 @@ def test_zscore_short_series_is_an_error(spark):
 
 def test_forest_sample_limit_has_no_floor():
     for n in (10**6, 10**9, 10**12):
-        share = (an.sample_limit(n, 256) + (1 << 63)) / (1 << 64)
+        share = (fo.sample_limit(n, 256) + (1 << 63)) / (1 << 64)
         assert math.isclose(share * n, 512, rel_tol=1e-6)
-    assert an.sample_limit(500, 256) is None
+    assert fo.sample_limit(500, 256) is None
 
 
 def test_forest_samples_equal_rows_by_key_and_needs_rows(spark):
     same = spark.range(3000).selectExpr("id", "1.0D AS a", "2.0D AS b")
-    roots = an.rcf_fit(same, ["a", "b"], key=["id"], n_trees=6, sample_size=50).where("node = 0").collect()
+    roots = fo.rcf_fit(same, ["a", "b"], key=["id"], n_trees=6, sample_size=50).where("node = 0").collect()
     assert sorted(r["size"] for r in roots) == [50] * 6
     with pytest.raises(ValueError):
-        an.rcf_fit(same.limit(0), ["a", "b"])
+        fo.rcf_fit(same.limit(0), ["a", "b"])
 
 
 def test_forest_frame_has_the_features_of_the_reference(spark):
@@ -195,8 +196,8 @@ def test_forest_ranks_outliers_on_top(spark):
     rows = [(i, random.gauss(0, 1), random.gauss(0, 1)) for i in range(600)]
     rows += [(600, 9.0, 9.0), (601, -8.0, 7.5)]
     df = spark.createDataFrame(rows, "i int, a double, b double")
-    trees = an.rcf_fit(df, ["a", "b"], n_trees=30, sample_size=128)
-    scored = an.rcf_score(df, trees, ["a", "b"]).orderBy(F.col("score").desc()).limit(2)
+    trees = fo.rcf_fit(df, ["a", "b"], n_trees=30, sample_size=128)
+    scored = fo.rcf_score(df, trees, ["a", "b"]).orderBy(F.col("score").desc()).limit(2)
     assert sorted(r.i for r in scored.collect()) == [600, 601]
 
 
@@ -204,8 +205,8 @@ def test_forest_independent_of_partitioning(spark):
     random.seed(4)
     rows = [(i, random.gauss(0, 1), random.gauss(0, 1)) for i in range(300)]
     df = spark.createDataFrame(rows, "i int, a double, b double")
-    t1 = sorted(map(tuple, an.rcf_fit(df.repartition(1), ["a", "b"], n_trees=5, sample_size=64).collect()))
-    t2 = sorted(map(tuple, an.rcf_fit(df.repartition(6), ["a", "b"], n_trees=5, sample_size=64).collect()))
+    t1 = sorted(map(tuple, fo.rcf_fit(df.repartition(1), ["a", "b"], n_trees=5, sample_size=64).collect()))
+    t2 = sorted(map(tuple, fo.rcf_fit(df.repartition(6), ["a", "b"], n_trees=5, sample_size=64).collect()))
     assert t1 == t2
 
 
