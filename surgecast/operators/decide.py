@@ -1,6 +1,6 @@
 """F4 decisions: traffic intervals with tasks, sport shares and events (DEC3),
 recommendation adjustment (DEC1), new recommendations (DEC2), interval
-expansion (GEN3) and keyed publishing (SNK5-SNK7).
+expansion (GEN3) and forecast tags (SNK7); ``sinks.tables`` publishes them.
 
 Every rule is a column expression over per-key aggregates joined together;
 there is one output row per (service, region) key, no driver loop.
@@ -41,10 +41,23 @@ def calendar_events(cal: DataFrame, period_start, period_end) -> DataFrame:
     return c.where((F.col("start") <= _ts(period_end)) & (F.col("end") >= _ts(period_start)))
 
 
+def numbered(events: DataFrame, keys: Sequence[str], out: str = "number") -> DataFrame:
+    """Rows numbered from 1 within ``keys`` by (start, id).
+
+    Numbers run within a day; the days' counts, added up, shift them. So no task
+    sorts more than a key's events of one day, however many a key has."""
+    kc = list(keys)
+    rows = events.withColumn("_day", F.to_date("start"))
+    days = rows.groupBy(*kc, "_day").agg(F.count(F.lit(1)).alias("_c"))
+    before = Window.partitionBy(*kc).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)  # a row a day
+    days = days.withColumn("_before", F.coalesce(F.sum("_c").over(before), F.lit(0))).drop("_c")
+    within = F.row_number().over(Window.partitionBy(*kc, "_day").orderBy("start", "id"))
+    return rows.withColumn("_k", within).join(days, [*kc, "_day"]).withColumn(out, F.col("_before") + F.col("_k")).drop("_day", "_k", "_before")
+
+
 def events_by_sport(events: DataFrame) -> DataFrame:
-    """AGG4: events collected per sport (sorted by start, id)."""
-    ev = F.struct("start", "end", "id", "name", "league")
-    return events.groupBy("sport").agg(F.array_sort(F.collect_list(ev)).alias("events"))
+    """AGG4: the events of each sport as rows, numbered by (start, id)."""
+    return numbered(events, ["sport"])
 
 
 def _day_buckets(start: str, end: str) -> Column:
@@ -68,7 +81,6 @@ def overlap_join(left: DataFrame, right: DataFrame, *, keys: Sequence[str], left
 def traffic_intervals(
     traffic: DataFrame,
     tasks: DataFrame,
-    events: DataFrame,
     sports: dict[str, str],
     period_start,
     period_end,
@@ -82,8 +94,9 @@ def traffic_intervals(
     ``traffic`` has one column per sport (``sports`` maps column -> calendar
     sport). Steps: FIL9 any sport positive, FIL20 closed period, WIN5 new
     interval after a gap > ``min_gap_seconds``, JON13 inner join with task
-    counts, AGG5 interval rollup, AGG6 shares with JON11 overlapping events,
-    FIL11 intervals touching the period edge dropped.
+    counts, AGG5 interval rollup, AGG6 shares, FIL11 intervals touching the
+    period edge dropped. The events of an interval are rows of
+    :func:`interval_events`.
     """
     kc = list(keys)
     ps, pe = _ts(period_start), _ts(period_end)
@@ -107,20 +120,21 @@ def traffic_intervals(
         F.explode(F.array(*[F.struct(F.lit(s).alias("sport"), F.try_divide(F.col(c), total).alias("weight"))
                             for c, s in sports.items()])).alias("_s"),
     ).select(*kc, "interval", "start_ds", "end_ds", "_s.*")
-    ov = overlap_join(shares.select(*kc, "interval", "sport", "start_ds", "end_ds"),
-                      events.select("sport", "start", "end", "id", "name", "league"), keys=[*kc, "sport"],
-                      left_id=["interval"])
-    ev = ov.groupBy(*kc, "interval", "sport").agg(
-        F.array_sort(F.collect_list(F.struct("start", "end", "id", "name", "league"))).alias("events"))
-    per_sport = shares.join(ev, [*kc, "interval", "sport"], "left").withColumn(
-        "events", F.coalesce("events", F.array().cast(ev.schema["events"].dataType)))
-    weights = per_sport.groupBy(*kc, "interval").agg(
-        F.map_from_entries(F.collect_list(F.struct("sport", F.struct("weight", "events")))).alias(
-            "sport_weight_in_extra_traffic"))
+    weights = shares.groupBy(*kc, "interval").agg(
+        F.map_from_entries(F.collect_list(F.struct("sport", "weight"))).alias("sport_weight_in_extra_traffic"))  # one entry a sport
     out = agg.join(weights, [*kc, "interval"]).drop(*cols)
     return out.where((F.col("start_ds") != ps) & (F.col("end_ds") != pe))
 
 
+def interval_events(intervals: DataFrame, events: DataFrame, sports: Sequence[str], keys: Keys = ()) -> DataFrame:
+    """AGG6 + JON11: the calendar events that overlap each interval, one row each,
+    numbered by (start, id) within (interval, sport)."""
+    kc = list(keys)
+    by_sport = intervals.select(*kc, "interval", "start_ds", "end_ds", F.explode(F.array(*map(F.lit, sports))).alias("sport"))
+    found = overlap_join(by_sport, events.select("sport", "start", "end", "id", "name", "league"), keys=["sport"], left_id=[*kc, "interval"])
+    return numbered(found.drop("start_ds", "end_ds"), [*kc, "interval", "sport"])
+
+
 @dataclass(frozen=True)
 class AdjustConfig:
     """Thresholds of the reference's adjustment (defaults as there)."""
@@ -164,8 +178,12 @@ def adjust_recommendations(
     prediction_time,
     keys: Keys,
     cfg: AdjustConfig = AdjustConfig(),
+    *,
+    service: Column | None = None,
+    region: Column | None = None,
 ) -> DataFrame:
-    """DEC1 (+ DEC2 branch): one decision row per key.
+    """DEC1 (+ DEC2 branch): one decision row per key. With ``service`` and
+    ``region`` (columns of the keys) a new recommendation gets its id (PRJ21).
 
     Inputs carry ``keys``; forecast ``ts, count``; predictions ``ts, count``;
     tasks ``ts, n_tasks``; recommendations ``interval_id, rec_order, start_ds,
@@ -229,6 +247,7 @@ def adjust_recommendations(
         F.when(F.col("action") != "none", F.col("new_n_tasks")).alias("n_tasks"),
         start.alias("start_ds"), end.alias("end_ds"),
         F.when(F.col("action") == "readjust", F.col("adj_interval_id")).when(F.col("action") == "adjust", F.col("aff_interval_id"))
+        .when(F.col("action") == "new", F.lit(None) if service is None else new_recommendation_id(F.col("t0"), service, region))
         .alias("interval_id"),
         F.when(F.col("action") == "readjust", F.col("adj_original_start_ds")).when(F.col("action") == "adjust", F.col("aff_start_ds"))
         .alias("original_start_ds"),
@@ -257,21 +276,6 @@ def expand_intervals(recs: DataFrame, step_seconds: int = 300, *, kind: str = "n
     return rows.withColumn("id", key)
 
 
-def upsert(existing: DataFrame, incoming: DataFrame, key: Sequence[str], order: str = "_version") -> DataFrame:
-    """SNK5: keyed upsert: incoming rows replace existing ones with the same key."""
-    e = existing.withColumn(order, F.lit(0))
-    i = incoming.withColumn(order, F.lit(1))
-    u = e.unionByName(i, allowMissingColumns=True)
-    w = Window.partitionBy(*key).orderBy(F.col(order).desc())
-    return u.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn", order)
-
-
-def replace_series(existing: DataFrame, incoming: DataFrame, keys: Sequence[str] = ("interval_id", "type")) -> DataFrame:
-    """SNK6: delete every row of the incoming (interval, type) pairs, then insert the new rows."""
-    gone = existing.join(incoming.select(*keys).distinct(), list(keys), "left_anti")
-    return gone.unionByName(incoming, allowMissingColumns=True)
-
-
 def tag_forecast(forecast: DataFrame, *, env: str, region: str, service: str, keys: Keys = ()) -> DataFrame:
     """SNK7 + PRJ20: tags, ``series_start`` = first time of the series, composite id."""
     f = forecast.withColumns({"env": F.lit(env), "region": F.lit(region), "service": F.lit(service)})

@@ -60,14 +60,14 @@ def join_rankings(
             F.col("league_rank").cast("double").alias(f"rank_{i}"),
         )
         out = out.join(
-            F.broadcast(r), (F.col(team) == F.col(f"_t{i}")) & (F.col(season) == F.col(f"_y{i}")), "left"
+            r, (F.col(team) == F.col(f"_t{i}")) & (F.col(season) == F.col(f"_y{i}")), "left"
         ).drop(f"_t{i}", f"_y{i}")
     return out
 
 
 def add_service_info(df: DataFrame, info: DataFrame, keys: Sequence[str] = ("service", "region")) -> DataFrame:
-    """JON12: service account and cluster by (service, region), broadcast left join."""
-    return df.join(F.broadcast(info), list(keys), "left")
+    """JON12: service account and cluster by (service, region); AQE broadcasts ``info`` if it proves small."""
+    return df.join(info, list(keys), "left")
 
 
 def duplicate_with_aliases(rankings: DataFrame, aliases: dict[str, str], col: str = "team_name") -> DataFrame:

@@ -48,8 +48,25 @@ def new_columns(current: DataFrame, incoming: DataFrame) -> list[tuple[str, str]
     return [(f.name, f.dataType.simpleString()) for f in incoming.schema.fields if f.name not in have]
 
 
+#: A category becomes an output column; more of them than this are a mistake in the choice of columns.
+MAX_CATEGORIES = 10_000
+
+
+def _bounded(names: DataFrame, what: str) -> list:
+    """The values of a one-column frame of distinct values, in order; too many are an error."""
+    got = [r[0] for r in names.distinct().limit(MAX_CATEGORIES + 1).collect()]
+    if len(got) > MAX_CATEGORIES:
+        raise ValueError(f"{what} has more than {MAX_CATEGORIES} categories")
+    return sorted(got)
+
+
 def fit_vocabulary(calendar: DataFrame, cols: Sequence[str]) -> dict[str, list]:
-    """AGG12: sorted distinct non-null categories per column, in one job."""
+    """AGG12: sorted distinct non-null categories per column, in one job. More
+    than ``MAX_CATEGORIES`` in a column are an error."""
+    sizes = calendar.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first()
+    for c in cols:
+        if sizes[c] > MAX_CATEGORIES:
+            raise ValueError(f"{c} has more than {MAX_CATEGORIES} categories")
     row = calendar.select(*[F.array_sort(F.collect_set(F.col(c))).alias(c) for c in cols]).first()
     return {c: list(row[c] or []) for c in cols}
 
@@ -57,7 +74,7 @@ def fit_vocabulary(calendar: DataFrame, cols: Sequence[str]) -> dict[str, list]:
 def fit_competitors(calendar: DataFrame, cols: Sequence[str]) -> list[str]:
     """AGG12 (second form): distinct competitors over several columns, nulls as unknown."""
     names = calendar.select(F.explode(F.array(*[F.coalesce(F.col(c), F.lit(UNKNOWN_COMPETITOR)) for c in cols])).alias("n"))
-    return sorted(r.n for r in names.distinct().collect())
+    return _bounded(names, "the competitors")
 
 
 def _name(col: str, cat) -> str:

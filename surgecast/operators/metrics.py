@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -54,6 +54,44 @@ def exact_median(df: DataFrame, keys: Sequence[str], value: Column, *, accuracy:
     return picked.select(*kc, (F.col("_v1") * 0.5 + F.col("_v2") * 0.5).alias(out))
 
 
+def exact_quantiles(df: DataFrame, keys: Sequence[str], value: Column, qs: Sequence[float], *, accuracy: int = 10000,
+                    out: str = "quantiles") -> DataFrame:
+    """Exact quantiles per group (linear interpolation between ranks, as
+    ``percentile``) as an array in the order of ``qs``, without holding a group's
+    values in one place. Without keys the whole frame is one group.
+
+    As in :func:`exact_median`: an approximate bracket around each quantile, a
+    count of the rows below it, and a cumulative count of the values inside. In
+    small groups a rank may be the one just outside, so the neighbours of the
+    bracket are kept, too. Nulls take no part; a group without values has no row."""
+    kc, n_q = list(keys), len(qs)
+    base = df.select(*([F.col(k) for k in kc] or [F.lit(0).alias("_all")]), value.cast("double").alias("_v")).where("_v IS NOT NULL")
+    g = kc or ["_all"]
+    half = 2.0 / accuracy
+    edges = [p for q in qs for p in (max(0.0, q - half), min(1.0, q + half))]
+    stats = base.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"), F.percentile_approx("_v", edges, accuracy).alias("_q"))
+    j = base.join(stats, g)
+    lo, hi = (lambda i: F.col("_q")[2 * i]), (lambda i: F.col("_q")[2 * i + 1])
+    outside = [F.struct(F.count_if(F.col("_v") < lo(i)).alias("n"), F.max(F.when(F.col("_v") < lo(i), F.col("_v"))).alias("last"),
+                        F.min(F.when(F.col("_v") > hi(i), F.col("_v"))).alias("next")) for i in range(n_q)]
+    below = j.groupBy(*g).agg(F.array(*outside).alias("_out"))
+    held = F.array_compact(F.array(*[F.when((F.col("_v") >= lo(i)) & (F.col("_v") <= hi(i)), F.lit(i)) for i in range(n_q)]))
+    inside = j.select(*g, F.explode(held).alias("_i"), "_v").groupBy(*g, "_i", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    w = Window.partitionBy(*g, "_i").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = inside.withColumn("_cum", F.sum("_c").over(w)).join(below, g).join(stats.select(*g, "_n"), g)
+    place = F.element_at(F.array(*[F.lit(float(q)) for q in qs]), F.col("_i") + 1) * (F.col("_n") - 1)
+    out_of = F.element_at("_out", F.col("_i") + 1)
+
+    def at_rank(r: Column) -> Column:
+        inside = F.min(F.when(out_of["n"] + F.col("_cum") > r, F.col("_v")))
+        return F.coalesce(F.max(F.when(r < out_of["n"], out_of["last"])), inside, F.max(out_of["next"]))
+
+    two = ranked.groupBy(*g, "_i").agg(at_rank(F.floor(place)).alias("_a"), at_rank(F.ceil(place)).alias("_b"), F.first(place - F.floor(place)).alias("_part"))
+    at = F.col("_a") + F.when(F.col("_part") > 0, (F.col("_b") - F.col("_a")) * F.col("_part")).otherwise(0.0)
+    got = two.groupBy(*g).agg(F.transform(F.array_sort(F.collect_list(F.struct("_i", at.alias("v")))), lambda x: x["v"]).alias(out))  # one entry a quantile
+    return got.select(*kc, out)
+
+
 def regression_metrics(scored: DataFrame, keys: Sequence[str] = (), y: str = "y", yhat: str = "yhat") -> DataFrame:
     """AGG8: mae, med_ae, mape (y != 0), smape (y > 0, mean denominator),
     med_ape (all rows; y = 0 with an error gives +inf), mse, std (population)."""
@@ -78,7 +116,8 @@ def regression_metrics(scored: DataFrame, keys: Sequence[str] = (), y: str = "y"
         out = out.join(exact_median(scored, kc, ae, out="med_ae"), kc, "left")
         out = out.join(exact_median(scored, kc, ape_all, out="med_ape"), kc, "left")
     else:
-        out = scored.agg(*aggs, F.median(ae).alias("med_ae"), F.median(ape_all).alias("med_ape"))
+        whole = {n: exact_quantiles(scored, [], c, [0.5]).select(F.col("quantiles")[0]).scalar() for n, c in (("med_ae", ae), ("med_ape", ape_all))}
+        out = scored.agg(*aggs).withColumns(whole)
     return out.withColumns({c: F.round(c, METRIC_DIGITS) for c in ["mae", "med_ae", "mape", "smape", "med_ape", "mse", "std"]})
 
 

@@ -1,7 +1,7 @@
 """Model versions with everything scoring needs (SNK10, ML7).
 
-A version has a folder of its own: the fitted pipeline, the category vocabulary
-and the scaler's statistics as tables. The list of versions with their approval
+A version has a folder of its own: the fitted pipeline or boosted trees, the
+category vocabulary and the scaler's statistics as tables. The list of versions with their approval
 is a published table, so a version exists once all its parts are written, and
 scoring resolves the newest approved one and reads nothing but its folder.
 """
@@ -15,11 +15,12 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from surgecast.operators import boosting as bo
 from surgecast.operators import features as fe
 from surgecast.sinks.tables import PublishedTable
 
 APPROVED, PENDING, REJECTED = "Approved", "PendingManualApproval", "Rejected"
-VERSIONS = "group string, version long, status string, path string, created_at timestamp"
+VERSIONS = "group string, version long, status string, path string, kind string, created_at timestamp"
 
 
 @dataclass(frozen=True)
@@ -27,7 +28,7 @@ class Artefacts:
     """What a version was trained with, as read back."""
 
     version: int
-    model: PipelineModel
+    model: PipelineModel | bo.Boosted
     vocabulary: dict[str, list]
     scaler: dict[str, tuple[float, float]]
 
@@ -56,17 +57,21 @@ class ModelRegistry:
         v = self.table.version()
         return self.table.read([group], v) if v.number else self.spark.createDataFrame([], VERSIONS)
 
-    def register(self, group: str, model: PipelineModel, vocabulary: dict[str, list], scaler: dict[str, tuple[float, float]],
+    def register(self, group: str, model: PipelineModel | bo.Boosted, vocabulary: dict[str, list], scaler: dict[str, tuple[float, float]],
                  created_at: str, status: str = PENDING) -> int:
         """Write a version's parts, then list it; returns its number."""
         path = f"{self.root}/data/{uuid.uuid4().hex}"
-        model.write().save(f"{path}/model")
+        boosted = isinstance(model, bo.Boosted)
+        if boosted:
+            bo.to_table(self.spark, model).coalesce(1).write.parquet(f"{path}/model")
+        else:
+            model.write().save(f"{path}/model")
         words = [(c, i, str(v)) for c, cats in vocabulary.items() for i, v in enumerate(cats)]
         self.spark.createDataFrame(words, "feature string, position int, category string").coalesce(1).write.parquet(f"{path}/vocabulary")
         stats = [(c, m, s) for c, (m, s) in scaler.items()]
         self.spark.createDataFrame(stats, "feature string, mean double, deviation double").coalesce(1).write.parquet(f"{path}/scaler")
         version = int(self.versions(group).agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]) + 1
-        row = self.spark.createDataFrame([(group, version, status, path)], "group string, version long, status string, path string")
+        row = self.spark.createDataFrame([(group, version, status, path, "boosted" if boosted else "pipeline")], "group string, version long, status string, path string, kind string")
         self.table.upsert(row.withColumn("created_at", F.lit(created_at).cast("timestamp")))
         return version
 
@@ -87,11 +92,14 @@ class ModelRegistry:
         for w in words:
             vocabulary.setdefault(w.feature, []).append(w.category)
         scaler = {s.feature: (s.mean, s.deviation) for s in self.spark.read.parquet(f"{row.path}/scaler").collect()}
-        return Artefacts(row.version, PipelineModel.load(f"{row.path}/model"), vocabulary, scaler)
+        where = f"{row.path}/model"
+        model = bo.from_table(self.spark.read.parquet(where)) if row.kind == "boosted" else PipelineModel.load(where)
+        return Artefacts(row.version, model, vocabulary, scaler)
 
 
 def score_newest(registry: ModelRegistry, group: str, df: DataFrame, keep: tuple[str, ...] = ("id", "ds")) -> DataFrame:
     """ML7 + JON15: ``df`` encoded and scored by the newest approved version."""
     found = registry.load(group)
-    scored = found.model.transform(found.encode(df))
+    rows = found.encode(df)
+    scored = bo.score(rows, found.model) if isinstance(found.model, bo.Boosted) else found.model.transform(rows)
     return scored.select(*keep, F.col("prediction").alias("yhat"), F.lit(found.version).cast("long").alias("version"))

@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from surgecast.operators.metrics import exact_quantiles
+
 Keys = Sequence[str]
 
 
@@ -84,29 +86,27 @@ def with_distribution_features(df: DataFrame, keys: Keys, cols: Sequence[str], q
     """PRJ25 + AGG9: ``<c>_diff_from_median``, ``<c>_more_quant_999`` (strictly
     above the exact ``q`` quantile, linear interpolation) and ``<c>_log``.
 
-    Median and quantile are exact per-series aggregates joined back to rows
-    (one row per series; AQE picks broadcast or sort-merge from its measured size).
+    Median and quantile are exact per-series statistics of all columns in one
+    distributed pass, joined back to the rows (one row per series; AQE picks
+    broadcast or sort-merge from its measured size).
     """
-    aggs = []
-    for c in cols:
-        aggs += [F.median(c).alias(f"_med_{c}"), F.percentile(c, q).alias(f"_q_{c}")]
+    points = F.explode(F.array(*[F.struct(F.lit(c).alias("_col"), F.col(c).cast("double").alias("_x")) for c in cols])).alias("_p")
+    long = df.select(*keys, points).select(*keys, "_p.*")
+    found = exact_quantiles(long, [*keys, "_col"], F.col("_x"), [0.5, q], out="_q")
+    stats = found.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("_col", "_q"))).alias("_s"))  # one entry a column
     if keys:
-        joined = df.join(df.groupBy(*keys).agg(*aggs), list(keys))
-        med = {c: F.col(f"_med_{c}") for c in cols}
-        qq = {c: F.col(f"_q_{c}") for c in cols}
+        joined, s = df.join(stats, list(keys), "left"), F.col("_s")
     else:
-        # all whole-frame statistics are one scalar subquery, read once
-        joined = df
-        stats = df.agg(F.struct(*aggs).alias("_s")).scalar()
-        med = {c: stats.getField(f"_med_{c}") for c in cols}
-        qq = {c: stats.getField(f"_q_{c}") for c in cols}
+        joined, s = df, stats.scalar()  # one scalar subquery, read once
+    med = {c: F.try_element_at(s, F.lit(c))[0] for c in cols}
+    qq = {c: F.try_element_at(s, F.lit(c))[1] for c in cols}
     new = {}
     for c in cols:
         new[f"{c}_diff_from_median"] = F.col(c) - med[c]
         new[f"{c}_more_quant_999"] = (F.col(c) > qq[c]).cast("int")
         new[f"{c}_log"] = F.log1p(c)
     out = joined.withColumns(new)
-    return out.drop(*[f"_med_{c}" for c in cols], *[f"_q_{c}" for c in cols]) if keys else out
+    return out.drop("_s") if keys else out
 
 
 def align_metrics(

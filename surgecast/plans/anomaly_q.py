@@ -18,6 +18,8 @@ from surgecast.plans.oracle_views import ctes
 from surgecast.plans.registry import finish, query
 from surgecast.plans.series_q import aligned_metrics
 from surgecast.session import materialize
+from surgecast.sinks.files import scratch_path
+from surgecast.sinks.tables import PublishedTable
 from surgecast.sources.tables import Tables
 
 # The reference's (lag, threshold, influence) at 5-minute points, rescaled to the
@@ -194,10 +196,27 @@ def anomaly_report_daily(spark, sf_dir):
     return finish(an.anomaly_report(periods, "2024-01-15", ["series_id"]))
 
 
-@query("metric_anomaly_periods", ops=("ML10", "ML9", "TS10", "TS11", "TS12", "AGG7", "JON14", "FIL17", "WIN4", "PRJ30", "SNK9", "SET1"))
-def metric_anomaly_periods(spark, sf_dir):
-    """Full metric anomaly flow: forest flags, ESD per metric, z-score annotation, periods."""
-    t = Tables(spark, sf_dir)
+#: The reference's caps by sport, for the sports of the driver data.
+CAPS = {"click": an.SPORT_CAPS["football"], "view": an.SPORT_CAPS["hockey"], "purchase": an.SPORT_CAPS["basketball"]}
+
+
+def sport_periods(t: Tables):
+    """Anomalous periods of each sport's hourly predictions, hours without extra traffic being 0."""
+    cols = {"click": "click", "view": "view_", "purchase": "purchase"}
+    points = F.explode(F.array(*[F.struct(F.lit(s).alias("sport"), F.col(c).alias("value")) for s, c in cols.items()]))
+    long = t.predictions_full.select("ds", points.alias("p")).select("p.sport", "ds", "p.value")
+    grid = ser.regular_grid(long.select("sport", F.col("ds").alias("ts"), "value"), ["sport"], "ts", 3600).fillna(0.0, ["value"])
+    return an.group_anomalies(grid, "ts", period=24, caps=CAPS, gap_seconds=3600)
+
+
+@query("sport_anomaly_periods", ops=("TS12", "WIN4", "PRJ30"))
+def sport_anomaly_periods(spark, sf_dir):
+    """Anomalous periods of the predictions by sport, each sport under its own cap."""
+    return finish(sport_periods(Tables(spark, sf_dir)))
+
+
+def metric_periods(t: Tables):
+    """Forest flags, ESD per metric, z-score annotation, joined to periods."""
     f = forest_frame(t)
     feats = [c for c in f.columns if c != "datetime"]
     trees = fo.rcf_fit(ser.slice_days(f, "datetime", "2024-01-20", 19), feats, key=["datetime"])
@@ -217,4 +236,25 @@ def metric_anomaly_periods(spark, sf_dir):
     flagged = j.where(F.col("`anomaly_0.99`"))
     periods = isl.islands(flagged.withColumn("ann_text", annotation_text("annotation")), [], "datetime",
                           gap_seconds=1800, annotation="ann_text", extra={"algorithm": F.min("algorithm")})
-    return finish(periods.withColumnRenamed("ann_text", "annotation"))
+    return periods.withColumnRenamed("ann_text", "annotation")
+
+
+@query("metric_anomaly_periods", ops=("ML10", "ML9", "TS10", "TS11", "TS12", "AGG7", "JON14", "FIL17", "WIN4", "PRJ30", "SET1"))
+def metric_anomaly_periods(spark, sf_dir):
+    """Full metric anomaly flow: forest flags, ESD per metric, z-score annotation, periods."""
+    return finish(metric_periods(Tables(spark, sf_dir)))
+
+
+@query("anomaly_table_published", ops=("SNK9", "SET1", "ML10", "TS12"))
+def anomaly_table_published(spark, sf_dir):
+    """Periods of both flows in one table, published for the ingest day and read back; a rerun changes nothing."""
+    t = Tables(spark, sf_dir)
+    cols = ["kind", "start_time", "end_time", "n_points", "annotation", "algorithm"]
+    metric = metric_periods(t).withColumn("kind", F.lit("metric")).select(*cols)
+    sport = sport_periods(t).withColumn("kind", F.concat(F.lit("sport "), "sport")).select(*cols)
+    found = materialize(metric.unionByName(sport).withColumns({"service": F.lit("svc"), "region": F.lit("eu"), "ingest_date": F.lit("2024-01-30")}))
+    table = PublishedTable(spark, scratch_path(spark, "anomalies"), ["service", "region", "kind", "start_time"], partition="ingest_date")
+    first = table.upsert(found)
+    if table.upsert(found) != first:
+        raise RuntimeError("a repeated run changed the anomaly table")
+    return finish(table.read())

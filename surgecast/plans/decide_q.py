@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from surgecast.functions.timeparts import year_month
 from surgecast.operators import decide as de
 from surgecast.plans.oracle_views import ctes
 from surgecast.plans.registry import finish, query
 from surgecast.sinks.files import scratch_path, write_dated
+from surgecast.sinks.tables import PublishedTable
 from surgecast.sources import asof
 from surgecast.sources.tables import Tables
 
@@ -16,15 +18,11 @@ SPORTS = {"click": "click", "view_": "view", "purchase": "purchase"}
 
 
 def _intervals(t: Tables):
-    ev = de.calendar_events(t.calendar, *PERIOD)
     tasks = t.scheduled_tasks.withColumnRenamed("datetime", "ds")
-    return de.traffic_intervals(t.predictions_full, tasks, ev, SPORTS, *PERIOD, min_gap_seconds=3600)
+    return de.traffic_intervals(t.predictions_full, tasks, SPORTS, *PERIOD, min_gap_seconds=3600)
 
 
-INTERVALS_SQL = ctes("predictions_full", "scheduled_tasks", "calendar", extra={
-    "ev": f"""SELECT CASE WHEN league = 'ufc' THEN 'ufc' ELSE sport END AS sport, date_utc AS start, end_with_avg_duration AS "end",
-                     cast(id AS varchar) AS id FROM calendar
-              WHERE date_utc <= TIMESTAMP '{PERIOD[1]}' AND end_with_avg_duration >= TIMESTAMP '{PERIOD[0]}'""",
+INTERVAL_CTES = {
     "tr": f"""SELECT * FROM predictions_full WHERE (click > 0 OR view_ > 0 OR purchase > 0)
               AND ds BETWEEN TIMESTAMP '{PERIOD[0]}' AND TIMESTAMP '{PERIOD[1]}'""",
     "lg": """SELECT *, CASE WHEN epoch(ds) - epoch(lag(ds) OVER (ORDER BY ds)) > 3600 THEN 1 ELSE 0 END AS nw FROM tr""",
@@ -37,47 +35,48 @@ INTERVALS_SQL = ctes("predictions_full", "scheduled_tasks", "calendar", extra={
     "sh": """SELECT interval, start_ds, end_ds, 'click' AS sport, click / (click + view_ + purchase) AS weight FROM a UNION ALL
              SELECT interval, start_ds, end_ds, 'view', view_ / (click + view_ + purchase) FROM a UNION ALL
              SELECT interval, start_ds, end_ds, 'purchase', purchase / (click + view_ + purchase) FROM a""",
-    "se": """SELECT sh.interval, sh.sport, sh.weight, string_agg(ev.id, ',' ORDER BY ev.start, ev.id) AS ids
-             FROM sh LEFT JOIN ev ON ev.sport = sh.sport AND ev.start <= sh.end_ds AND ev."end" >= sh.start_ds
-             GROUP BY sh.interval, sh.sport, sh.weight"""}) + f"""
-SELECT cast(a.interval AS bigint) AS interval, a.start_ds, a.end_ds, cast(a.n_tasks AS bigint) AS n_tasks, a.max_tasks_timestamp,
-       round(max(CASE WHEN se.sport = 'click' THEN se.weight END), 6) AS w_click,
-       round(max(CASE WHEN se.sport = 'view' THEN se.weight END), 6) AS w_view,
-       round(max(CASE WHEN se.sport = 'purchase' THEN se.weight END), 6) AS w_purchase,
-       coalesce(max(CASE WHEN se.sport = 'click' THEN se.ids END), '') AS ev_click,
-       coalesce(max(CASE WHEN se.sport = 'view' THEN se.ids END), '') AS ev_view,
-       coalesce(max(CASE WHEN se.sport = 'purchase' THEN se.ids END), '') AS ev_purchase
-FROM a JOIN se ON se.interval = a.interval
-WHERE a.start_ds <> TIMESTAMP '{PERIOD[0]}' AND a.end_ds <> TIMESTAMP '{PERIOD[1]}'
-GROUP BY a.interval, a.start_ds, a.end_ds, a.n_tasks, a.max_tasks_timestamp"""
-
-
-@query("traffic_intervals", ops=("DEC3", "FIL9", "FIL20", "WIN5", "JON13", "AGG5", "AGG6", "JON11", "FIL11", "FIL10", "PRJ24"),
-       sql=INTERVALS_SQL)
+    "iv": f"""SELECT * FROM a WHERE start_ds <> TIMESTAMP '{PERIOD[0]}' AND end_ds <> TIMESTAMP '{PERIOD[1]}'""",
+    "ev": f"""SELECT CASE WHEN league = 'ufc' THEN 'ufc' ELSE sport END AS sport, date_utc AS start, end_with_avg_duration AS "end",
+                     cast(id AS varchar) AS id FROM calendar
+              WHERE date_utc <= TIMESTAMP '{PERIOD[1]}' AND end_with_avg_duration >= TIMESTAMP '{PERIOD[0]}'""",
+}
+INTERVALS_SQL = ctes("predictions_full", "scheduled_tasks", "calendar", extra=INTERVAL_CTES) + """
+SELECT cast(iv.interval AS bigint) AS interval, iv.start_ds, iv.end_ds, cast(iv.n_tasks AS bigint) AS n_tasks, iv.max_tasks_timestamp,
+       round(max(CASE WHEN sh.sport = 'click' THEN sh.weight END), 6) AS w_click,
+       round(max(CASE WHEN sh.sport = 'view' THEN sh.weight END), 6) AS w_view,
+       round(max(CASE WHEN sh.sport = 'purchase' THEN sh.weight END), 6) AS w_purchase
+FROM iv JOIN sh ON sh.interval = iv.interval
+GROUP BY iv.interval, iv.start_ds, iv.end_ds, iv.n_tasks, iv.max_tasks_timestamp"""
+
+
+@query("traffic_intervals", ops=("DEC3", "FIL9", "FIL20", "WIN5", "JON13", "AGG5", "AGG6", "FIL11"), sql=INTERVALS_SQL)
 def traffic_intervals(spark, sf_dir):
-    """Extra-traffic intervals with task peak, sport shares and overlapping events."""
+    """Extra-traffic intervals with task peak and sport shares."""
     t = Tables(spark, sf_dir)
-    iv = _intervals(t)
     m = F.col("sport_weight_in_extra_traffic")
-    cols = {}
-    for s in SPORTS.values():
-        cols[f"w_{s}"] = m[s]["weight"]
-        cols[f"ev_{s}"] = F.array_join(F.transform(m[s]["events"], lambda e: e["id"]), ",")
-    return finish(iv.select("interval", "start_ds", "end_ds", "n_tasks", "max_tasks_timestamp",
-                            *[v.alias(k) for k, v in cols.items()]))
+    return finish(_intervals(t).select("interval", "start_ds", "end_ds", "n_tasks", "max_tasks_timestamp", *[m[s].alias(f"w_{s}") for s in SPORTS.values()]))
+
+
+@query("interval_events", ops=("AGG6", "JON11", "FIL10", "PRJ24", "DEC3"), sql=ctes("predictions_full", "scheduled_tasks", "calendar", extra=INTERVAL_CTES) + """
+SELECT cast(iv.interval AS bigint) AS interval, ev.sport, ev.id,
+       row_number() OVER (PARTITION BY iv.interval, ev.sport ORDER BY ev.start, ev.id) AS number
+FROM iv JOIN ev ON ev.sport IN ('click', 'view', 'purchase') AND ev.start <= iv.end_ds AND ev."end" >= iv.start_ds""")
+def interval_events(spark, sf_dir):
+    """The calendar events behind each extra-traffic interval, numbered by sport."""
+    t = Tables(spark, sf_dir)
+    ev = de.calendar_events(t.calendar, *PERIOD)
+    return finish(de.interval_events(_intervals(t), ev, list(SPORTS.values())).select("interval", "sport", "id", "number"))
 
 
 @query("calendar_by_sport", ops=("AGG4", "PRJ24", "FIL10"), sql=ctes("calendar") + f"""
-SELECT CASE WHEN league = 'ufc' THEN 'ufc' ELSE sport END AS sport, count(*) AS n_events,
-       string_agg(cast(id AS varchar), ',' ORDER BY date_utc, cast(id AS varchar)) AS ids
-FROM calendar WHERE date_utc <= TIMESTAMP '{PERIOD[1]}' AND end_with_avg_duration >= TIMESTAMP '{PERIOD[0]}'
-GROUP BY 1""")
+SELECT CASE WHEN league = 'ufc' THEN 'ufc' ELSE sport END AS sport, cast(id AS varchar) AS id, name, date_utc AS start,
+       row_number() OVER (PARTITION BY CASE WHEN league = 'ufc' THEN 'ufc' ELSE sport END ORDER BY date_utc, cast(id AS varchar)) AS number
+FROM calendar WHERE date_utc <= TIMESTAMP '{PERIOD[1]}' AND end_with_avg_duration >= TIMESTAMP '{PERIOD[0]}'""")
 def calendar_by_sport(spark, sf_dir):
-    """Events overlapping the period, collected per sport."""
+    """Events overlapping the period, numbered within their sport."""
     t = Tables(spark, sf_dir)
     g = de.events_by_sport(de.calendar_events(t.calendar, *PERIOD))
-    return finish(g.select("sport", F.size("events").cast("bigint").alias("n_events"),
-                           F.array_join(F.transform("events", lambda e: e["id"]), ",").alias("ids")))
+    return finish(g.select("sport", "id", "name", "start", "number"))
 
 
 PT = "2024-01-20 17:00:00"
@@ -117,7 +116,7 @@ def _decision(t: Tables):
     pred = s.select("series_id", "ts", F.col("value").alias("count"))
     tasks = s.select("series_id", "ts", F.ceil(F.col("value") / 10).cast("bigint").alias("n_tasks"))
     orig, adj = _recs(t)
-    return de.adjust_recommendations(fc, pred, tasks, orig.drop("d"), adj, PT, ["series_id"])
+    return de.adjust_recommendations(fc, pred, tasks, orig.drop("d"), adj, PT, ["series_id"], service=F.col("series_id"), region=F.lit("eu"))
 
 
 def _meta_text(m):
@@ -175,7 +174,8 @@ SELECT series_id, action, t0, t1, round(diff, 6) AS diff, round(slope, 6) AS slo
        cast(CASE WHEN action <> 'none' THEN new_n END AS double) AS n_tasks,
        CASE action WHEN 'readjust' THEN least(start_change, adj_os) WHEN 'adjust' THEN least(start_change, aff_start) WHEN 'new' THEN t0 END AS start_ds,
        CASE action WHEN 'readjust' THEN greatest(adj_end, adj_oe, t1) WHEN 'adjust' THEN greatest(aff_end, t1) WHEN 'new' THEN t1 END AS end_ds,
-       CASE action WHEN 'readjust' THEN adj_id WHEN 'adjust' THEN aff_id END AS interval_id,
+       CASE action WHEN 'readjust' THEN adj_id WHEN 'adjust' THEN aff_id
+                   WHEN 'new' THEN strftime(t0, '%Y-%m-%d') || '_' || series_id || '_eu_nrt_generated' END AS interval_id,
        CASE action WHEN 'readjust' THEN adj_os WHEN 'adjust' THEN aff_start END AS original_start_ds,
        CASE action WHEN 'readjust' THEN adj_oe WHEN 'adjust' THEN aff_end END AS original_end_ds,
        cast(CASE action WHEN 'readjust' THEN adj_on WHEN 'adjust' THEN aff_n END AS double) AS original_n_tasks,
@@ -223,13 +223,15 @@ SELECT interval_id, cast(count AS bigint) AS count, ts, 'n_tasks' AS type,
 
 @query("interval_expansion", ops=("GEN3", "SNK6", "SNK5", "PRJ21", "PRJ22"), sql=EXPAND_SQL)
 def interval_expansion(spark, sf_dir):
-    """Recommendations as hourly task rows; adjusted intervals replace theirs; keyed upsert."""
+    """Recommendations as hourly task rows, published by month; adjusted intervals replace theirs; keyed upsert."""
     t = Tables(spark, sf_dir)
     orig, adj = _recs(t)
-    existing = de.expand_intervals(orig, 3600)
-    incoming = de.expand_intervals(adj, 3600)
-    replaced = de.replace_series(existing, incoming)
-    return finish(de.upsert(replaced, incoming, ["id"]))
+    rows = lambda r: de.expand_intervals(r, 3600).withColumn("month", year_month("ts"))
+    table = PublishedTable(spark, scratch_path(spark, "expansion"), ["id"])
+    table.upsert(rows(orig))
+    table.replace(rows(adj), ["interval_id", "type"])
+    table.upsert(rows(adj))
+    return finish(table.read().drop("month"))
 
 
 @query("forecast_publish_tags", ops=("SNK7", "PRJ20", "PRJ21"), sql=ctes("series") + """

@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from surgecast.functions import text as tx
+from surgecast.operators import boosting as bo
 from surgecast.operators import enrich
 from surgecast.operators import features as fe
 from surgecast.operators import models as mdl
+from surgecast.operators import registry as reg
 from surgecast.plans.decide_q import _recs
 from surgecast.plans.features_q import feature_frame
 from surgecast.plans.oracle_views import ctes
@@ -136,20 +138,23 @@ def accent_strip_documents(spark, sf_dir):
 
 @query("model_train_predict", ops=("ML5", "ML6", "ML7", "JON15", "SNK10", "AGG8"))
 def model_train_predict(spark, sf_dir):
-    """Boosted trees and a linear model on encoded event features; test metrics per model."""
+    """The reference's first boosted model and a linear model, registered with vocabulary
+    and scaler; the newest approved versions, read back, score the later events."""
     t = Tables(spark, sf_dir)
-    f = materialize(feature_frame(t).where(F.col("y").isNotNull()))
-    vocab = fe.fit_vocabulary(f, ENC_COLS)
-    f = fe.one_hot(f, vocab).withColumn("weight", F.coalesce(F.sqrt(F.greatest("y", F.lit(0.0))), F.lit(0.0)) + 1e-3)
-    feats = [fe._name(c, v) for c, cats in vocab.items() for v in cats] + ["n_tasks"]
-    f = f.fillna(0, subset=["n_tasks"])  # no task count at that time: 0 (tree learners reject NaN; no row is dropped)
-    f = f.withColumn("ds", F.col("date_utc"))
+    f = materialize(feature_frame(t).where(F.col("y").isNotNull()).withColumn("ds", F.col("date_utc")))
+    f = f.fillna(0, subset=["n_tasks"])  # no task count at that time: 0 (no row is dropped)
     split = F.col("date_utc") < F.lit(PRED_DATE).cast("timestamp")
     train, test = f.where(split), f.where(~split)
+    vocab, scaler = fe.fit_vocabulary(train, ENC_COLS), reg.fit_scaler(train, ["n_tasks"])
+    feats = [fe._name(c, v) for c, cats in vocab.items() for v in cats] + ["n_tasks"]
+    encoded = reg.Artefacts(0, None, vocab, scaler).encode(train)
+    encoded = materialize(encoded.withColumn("weight", F.coalesce(F.sqrt(F.greatest("y", F.lit(0.0))), F.lit(0.0)) + 1e-3))
+    models = reg.ModelRegistry(spark, sk.scratch_path(spark, "model-versions"))
+    models.register("linear", mdl.fit(mdl.linear_model(feats), encoded), vocab, scaler, "2024-01-20", reg.APPROVED)
+    models.register("linear", mdl.fit(mdl.linear_model(["n_tasks"]), encoded), {}, scaler, "2024-01-21")  # not approved: passed over
+    models.register("gbt", bo.fit(encoded, feats, bo.FIRST_MODEL, weight="weight", key=["sport", "id"]), vocab, scaler, "2024-01-20", reg.APPROVED)
     out = None
-    for name, pipe in [("gbt", mdl.boosted_trees(feats, mdl.BoostConfig(rounds=20, depth=4))), ("linear", mdl.linear_model(feats))]:
-        model = mdl.fit(pipe, train)
-        mdl.save_model(model, sk.scratch_path(spark, f"model-{name}"))
-        scored = mdl.score(model, test, keep=("id", "ds", "y")).withColumn("model", F.lit(name))
+    for group in ("gbt", "linear"):
+        scored = reg.score_newest(models, group, test, ("id", "ds", "y")).withColumn("model", F.lit(group))
         out = scored if out is None else out.unionByName(scored)
     return finish(regression_metrics(out, ["model"]))

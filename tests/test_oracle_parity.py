@@ -9,7 +9,7 @@ import pytest
 import __spark_entry__ as E
 from surgecast.sources.tables import TABLES
 from tests.conftest import SF_CHECK
-from tools.verify import kinds, rows_of
+from tools.verify import duck_kinds, rows_of, spark_kinds
 
 ORACLES = E.oracle_sql()
 QUERIES = E.queries()
@@ -25,10 +25,9 @@ def con():
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_matches_oracle(spark, con, name):
-    s = QUERIES[name](spark, SF_CHECK).toPandas()
-    d = con.sql(ORACLES[name]).df()
-    assert sorted(s.columns) == sorted(d.columns)
-    assert kinds(s) == kinds(d)
+    found, rel = QUERIES[name](spark, SF_CHECK), con.sql(ORACLES[name])
+    assert spark_kinds(found) == duck_kinds(rel)
+    s, d = found.toPandas(), rel.df()
     assert len(s) == len(d)
     hs = hashlib.sha1("\n".join(rows_of(s)).encode()).hexdigest()
     hd = hashlib.sha1("\n".join(rows_of(d)).encode()).hexdigest()
@@ -36,5 +35,5 @@ def test_matches_oracle(spark, con, name):
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
-def test_rows_only_queries_run(spark, name):
-    assert QUERIES[name](spark, SF_CHECK).count() >= 0
+def test_rows_only_queries_give_rows(spark, name):
+    assert QUERIES[name](spark, SF_CHECK).count() > 0
