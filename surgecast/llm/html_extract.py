@@ -6,6 +6,13 @@ gives an ambiguous short block the label of its nearest decided neighbours. In
 an article or main element the same rules hold: there a long block of few stop
 words is undecided, only blocks in articles are neighbours, and a block whose
 neighbours say nothing or disagree is text.
+
+A container whose class or id has a word of a list (BAD_NAMES) is only suspected:
+if it holds most of the page's text that pass one would call good, it is the
+article's own and stays. The density rules know the stop words of English,
+German, French and Spanish; in other languages length and links decide.
+
+A page is read in one pass that never goes back, whatever its quotes and tags.
 """
 
 from __future__ import annotations
@@ -41,6 +48,8 @@ BAD_NAMES = set(
     "pagination pager copyright skip legal disclaimer paywall".split()
 )
 GOOD_TAGS = {"article", "main"}
+#: An element of these ends where the next one begins.
+SELF_ENDING = set("p li dt dd tr td th option h1 h2 h3 h4 h5 h6".split())
 STOPWORDS = set(
     # en
     "the of and to in a is that was for it with as his on be at by i this had not are but from or have an they which one you were her all she "
@@ -56,16 +65,11 @@ STOPWORDS = set(
     "también fue había era muy hasta desde".split()
 )
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    rf"|<(?P<raw>{RAW.replace(' ', '|')})(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attr>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
-    re.S | re.I,
-)
-HEAD = re.compile(r"<head(?=[\s>]).*?(?:</head\s*>|(?=<body[\s>])|\Z)", re.S | re.I)
-CUT_TAG = re.compile(r"<[/a-zA-Z!?][^<>]*\Z")
-ATTR = re.compile(r"(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
+RAW_TAGS = set(RAW.split())
+START = re.compile(r"</?([a-zA-Z][a-zA-Z0-9:-]*)")
+RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*>", re.I) for t in RAW_TAGS} | {"head": re.compile(r"</head(?=[\s/>])[^>]*>|(?=<body[\s>])", re.I)}
+STOP = re.compile(r"[>\"']")
+ATTR = re.compile(r"([^\s\"'<>/=][^\s=>/]*)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
 NAME = re.compile(r"[a-z]+", re.I)
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -78,112 +82,218 @@ class Block:
     in_links: int
     place: str  # "bad", "good" (inside article or main) or "open"
     heading: bool
+    boxes: tuple[int, ...] = ()  # suspected containers around it
     label: str = field(default="", compare=False)
 
 
-def _bad(tag: str, attr: str, in_good: bool) -> bool:
+def _suspect(tag: str, attr: str, in_good: bool) -> str:
+    """"bad" for an element that is never text, "name" for one only its class or id speaks against, or ""."""
     if tag in BAD_TAGS or (tag == "header" and not in_good):
-        return True
+        return "bad"
     if not attr or tag in ("body", "html", "article", "main"):
-        return False
+        return ""
+    found = ""
     for name, value in ATTR.findall(attr):
         name, value = name.lower(), value.strip("\"'").lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True
+            return "bad"
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True
+            return "bad"
         if name == "role" and value in BAD_ROLES:
-            return True
+            return "bad"
         if name in ("class", "id") and not BAD_NAMES.isdisjoint(NAME.findall(value)):
-            return True
-    return False
+            found = "name"
+    return found
+
+
+def _tag_end(page: str, at: int, lost: set[str]) -> int:
+    """The place of the ``>`` that ends the tag whose attributes begin at ``at``; -1 if none.
+
+    Only a quote behind ``=`` opens a value; one that is never closed (noted in
+    ``lost``, so that it is looked for once) is an ordinary character."""
+    while True:
+        m = STOP.search(page, at)
+        if m is None:
+            return -1
+        if m[0] == ">":
+            return m.start()
+        at = m.end()
+        if m[0] not in lost and page[max(0, m.start() - 8) : m.start()].rstrip().endswith("="):
+            close = page.find(m[0], at)
+            if close < 0:
+                lost.add(m[0])
+            else:
+                at = close + 1
+
+
+def tags(page: str) -> Iterator[tuple[str, str, bool, str]]:
+    """(text before it, tag, whether it closes, attributes) of every tag in order,
+    at last the rest of the text. Comments, declarations and raw elements are passed over."""
+    at, lost = 0, set()
+    text: list[str] = []
+    size = len(page)
+    while at < size:
+        i = page.find("<", at)
+        if i < 0:
+            break
+        text.append(page[at:i])
+        if page.startswith("<!--", i):
+            end = page.find("-->", i + 4)
+            at = size if end < 0 else end + 3
+            continue
+        if page.startswith(("<!", "<?"), i):
+            end = page.find(">", i)
+            at = size if end < 0 else end + 1
+            continue
+        m = START.match(page, i)
+        if m is None:
+            text.append("<")
+            at = i + 1
+            continue
+        end = _tag_end(page, m.end(), lost)
+        if end < 0:  # the page breaks off inside a tag
+            at = size
+            break
+        tag, attr, closes = m[1].lower(), page[m.end() : end], page[i + 1] == "/"
+        at = end + 1
+        if tag in RAW_TAGS and not closes:
+            if not attr.endswith("/"):
+                stop = RAW_END[tag].search(page, at)
+                at = stop.end() if stop else size
+            text.append(" " if tag == "head" else "")
+            continue
+        yield "".join(text), tag, closes, attr
+        text = []
+    yield "".join([*text, page[at:]]), "", False, ""
+
+
+@dataclass
+class _Box:
+    """An open container that isn't, or may not be, part of the text."""
+
+    tag: str
+    depth: int
+    number: int  # 0: never text
 
 
 def blocks(page: str) -> list[Block]:
     """Blocks of a page with text, in page order."""
-    page = HEAD.sub(" ", page, count=1)
     out: list[Block] = []
     parts: list[str] = []
     linked: list[str] = []
-    links = good = 0
-    heading = False
-    bad_tag, depth = "", 0
+    boxes: list[_Box] = []
+    link = ""  # the block in which the open link began
+    link_depth = depth = good = count = 0
+    heading, inside = False, "body"
 
     def end() -> None:
-        nonlocal heading
         text = " ".join(entities.unescape("".join(parts)).split())
         if text:
-            inside = len(" ".join(entities.unescape("".join(linked)).split()))
-            out.append(Block(text, min(inside, len(text)), "bad" if bad_tag else "good" if good else "open", heading))
+            in_links = len(" ".join(entities.unescape("".join(linked)).split()))
+            never = any(not b.number for b in boxes)
+            out.append(Block(text, min(in_links, len(text)), "bad" if never else "good" if good else "open", heading, tuple(b.number for b in boxes)))
         parts.clear()
         linked.clear()
 
-    def add(text: str) -> None:
+    def close(tag: str) -> None:
+        """An end tag: the innermost box of this tag gets less deep, or ends with those in it."""
+        for k in range(len(boxes) - 1, -1, -1):
+            if boxes[k].tag == tag:
+                boxes[k].depth -= 1
+                if not boxes[k].depth:
+                    del boxes[k:]
+                return
+
+    for text, tag, closes, attr in tags(page):
         if text:
             parts.append(text)
-            if links:
+            if link:
                 linked.append(text)
-
-    at = 0
-    for m in TOKEN.finditer(page):
-        add(page[at : m.start()])
-        at = m.end()
-        if m["tag"] is None:
-            continue
-        tag, closes = m["tag"].lower(), bool(m["end"])
+        if not tag:
+            break
         if tag == "a":
-            links = max(0, links - 1) if closes else 1
+            link, link_depth = ("" if closes else inside), depth
             continue
-        if tag not in BLOCKS and tag not in BAD_TAGS:
-            if not bad_tag and not closes and tag not in VOID and not m["attr"].endswith("/") and _bad(tag, m["attr"], bool(good)):
+        block = tag in BLOCKS or tag in BAD_TAGS
+        opens = not closes and tag not in VOID and not (attr.endswith("/") and not block)
+        kind = _suspect(tag, attr, bool(good)) if opens else ""
+        if not block:
+            if kind:
                 end()
-                bad_tag, depth = tag, 1
-            elif bad_tag == tag:
-                depth += -1 if closes else 1
-                if not depth:
-                    end()
-                    bad_tag = ""
+                count += kind == "name"
+                boxes.append(_Box(tag, 1, count if kind == "name" else 0))
+            elif opens and boxes and boxes[-1].tag == tag:
+                boxes[-1].depth += 1
+            elif closes and any(b.tag == tag for b in boxes):
+                end()
+                close(tag)
             continue
         end()
-        links = 0
-        if bad_tag:
-            if tag in GOOD_TAGS and not closes and bad_tag != "aside":  # an unclosed menu ends where the article begins
-                bad_tag = ""
-            elif tag == bad_tag:
-                depth += -1 if closes else 1
-                if depth <= 0:
-                    bad_tag = ""
-            elif tag in ("body", "html") and closes:
-                bad_tag = ""
-        elif not closes and tag not in VOID and _bad(tag, m["attr"], bool(good)):
-            bad_tag, depth = tag, 1
-        if tag in GOOD_TAGS and not bad_tag:
-            good = max(0, good - 1) if closes else good + 1
+        if tag not in VOID:
+            depth += -1 if closes else 1
+            if link and (depth < link_depth or (not closes and tag == link and tag in SELF_ENDING)):  # the link's own block is over
+                link = ""
+            inside = tag
+        if closes:
+            if tag in ("body", "html"):
+                boxes.clear()
+            elif any(b.tag == tag for b in boxes):
+                close(tag)
+            if tag in GOOD_TAGS and not any(not b.number for b in boxes):
+                good = max(0, good - 1)
+        elif tag not in VOID:
+            if tag in GOOD_TAGS:  # an unclosed menu ends where the article begins
+                boxes = [b for b in boxes if b.tag == "aside" or b.number]
+            if kind:
+                count += kind == "name"
+                boxes.append(_Box(tag, 1, count if kind == "name" else 0))
+            elif boxes and boxes[-1].tag == tag:
+                boxes[-1].depth += 1
+            if tag in GOOD_TAGS and not any(not b.number for b in boxes):
+                good += 1
         heading = tag in ("h1", "h2", "h3", "h4", "h5", "h6") and not closes
-    add(CUT_TAG.sub("", page[at:]))
     end()
     return out
 
 
+def _first_label(b: Block) -> str:
+    """Pass one: "good", "bad", "neargood" or "short"."""
+    if b.place == "bad" or b.in_links / len(b.text) > MAX_LINK_DENSITY:
+        return "bad"
+    if b.text[0] == "©" or b.text.lower().startswith("copyright"):
+        return "bad"
+    size = len(b.text)
+    if size < LENGTH_LOW:
+        return "short"
+    words = WORD.findall(b.text.lower())
+    density = sum(w in STOPWORDS for w in words) / max(1, len(words))
+    if density >= STOPWORDS_HIGH:
+        return "good" if size > LENGTH_HIGH else "neargood"
+    if density >= STOPWORDS_LOW:
+        return "neargood"
+    return "bad" if b.place == "open" else "neargood"
+
+
+def _clear_boxes(found: list[Block]) -> None:
+    """Blocks of suspected containers are bad, but where the container holds most of
+    the page's good text."""
+    good = [len(b.text) if b.place != "bad" and _first_label(b) == "good" else 0 for b in found]
+    held: dict[int, int] = {}
+    for b, n in zip(found, good):
+        for box in b.boxes:
+            held[box] = held.get(box, 0) + n
+    total = sum(good)
+    for b in found:
+        if any(box and 2 * held[box] <= total for box in b.boxes):
+            b.place = "bad"
+
+
 def classify(found: list[Block]) -> None:
     """Label each block "good" or "bad"."""
+    if any(b.boxes for b in found):
+        _clear_boxes(found)
     for b in found:  # pass one
-        if b.place == "bad" or b.in_links / len(b.text) > MAX_LINK_DENSITY:
-            b.label = "bad"
-        elif b.text[0] == "©" or b.text.lower().startswith("copyright"):
-            b.label = "bad"
-        else:
-            words = WORD.findall(b.text.lower())
-            density = sum(w in STOPWORDS for w in words) / max(1, len(words))
-            size = len(b.text)
-            if size < LENGTH_LOW:
-                b.label = "short"
-            elif density >= STOPWORDS_HIGH:
-                b.label = "good" if size > LENGTH_HIGH else "neargood"
-            elif density >= STOPWORDS_LOW:
-                b.label = "neargood"
-            else:
-                b.label = "bad" if b.place == "open" else "neargood"
+        b.label = _first_label(b)
     # pass two
     sure = [b.label if b.label in ("good", "bad") else "" for b in found]
     all_before, all_after = _nearest(found, sure)

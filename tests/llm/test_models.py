@@ -143,6 +143,71 @@ def test_main_text_of_broken_pages(page):
     assert isinstance(html_extract.main_text(page), str)
 
 
+LONG = "It was the best of the times and it was the worst of the times, as all of us have read in the book that they gave to us. " * 3
+
+
+@pytest.mark.parametrize("attr", ['title="Hidden treasures of the city"', 'data-title="the hidden city"', 'data-id="menu"', 'class="legal-history"', "id=comments-of-a-king", 'title="a > b" lang=en', "x='"])
+def test_main_text_of_named_containers(attr):
+    assert html_extract.main_text(f"<nav>Menu of the site</nav><div {attr}><p>{LONG}</p></div><p>short</p>").startswith(LONG.strip())
+
+
+def test_main_text_keeps_quotes_and_drops_named_boxes():
+    page = f'<article><p>{LONG}</p><blockquote cite="https://x.org/hidden-gem"><p>{LONG}</p></blockquote><div class="comments"><p>{LONG}</p></div></article>'
+    assert html_extract.main_text(page) == f"{LONG.strip()} {LONG.strip()}"
+    page = f'<div class="legal-history"><p>{LONG}</p><p>{LONG}</p><div class="comment"><p>{LONG}</p></div></div>'
+    assert html_extract.main_text(page) == f"{LONG.strip()} {LONG.strip()}"
+
+
+def test_blocks_inside_links_count_as_linked():
+    found = html_extract.blocks("<div><a href=1><div>linked text</div></a><p>free</p></div><p><a href=2>open link<p>next</p>")
+    assert [(b.text, b.in_links) for b in found] == [("linked text", 11), ("free", 0), ("open link", 9), ("next", 0)]
+
+
+@pytest.mark.parametrize("piece", ["<p '", '<p a="', "<p a='\"", "<script", "<a <b", "<!-", "</", "<p a='>", "<svg><div "])
+def test_a_megabyte_of_broken_page_is_read_once(piece):
+    import time
+
+    page = piece * (1_000_000 // len(piece))
+    began = time.process_time()
+    html_extract.main_text(f"<p>{LONG}</p>" + page)
+    assert time.process_time() - began < 10
+
+
+def test_blocks_hold_all_text_of_real_pages():
+    """Every character that a plain parser finds outside raw elements lies in one block."""
+    from html.parser import HTMLParser
+
+    import pyarrow.parquet as pq
+
+    class Plain(HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.text, self.raw = [], []
+
+        def handle_starttag(self, tag, attrs):
+            self.text.append(" " if tag in html_extract.BLOCKS | html_extract.BAD_TAGS else "")
+            if tag in html_extract.RAW_TAGS:
+                self.raw.append(tag)
+
+        def handle_endtag(self, tag):
+            self.text.append(" " if tag in html_extract.BLOCKS | html_extract.BAD_TAGS else "")
+            if self.raw and self.raw[-1] == tag:
+                self.raw.pop()
+
+        def handle_data(self, data):
+            if not self.raw:
+                self.text.append(data)
+
+    pages = pq.read_table(f"{DIR}/pages.parquet")["html"].to_pylist()
+    assert len(pages) > 100
+    for page in pages:
+        plain = Plain()
+        plain.feed(page or "")
+        plain.close()
+        got = "".join(b.text for b in html_extract.blocks(page or ""))
+        assert "".join(got.split()) == "".join("".join(plain.text).split())
+
+
 def test_extract_tables(spark):
     df = spark.createDataFrame([(1, "u", PAGE, 1), (1, "u", PAGE, 1), (2, None, None, 1)], "page_id long, url string, html string, text int")
     out = html_extract.extract(df)
