@@ -31,7 +31,11 @@ HIDDEN, PIECE = 16, 24
 #: words a language, and the passes over them.
 DOCS_A_LANG, WORDS_A_LANG, EPOCHS, BATCH, RATE = 600, 12_000, 6, 256, 0.01
 UNKNOWN = "und"
-CHUNK = 4 << 20
+CHUNK = 2 << 20
+#: Words of one length that go through the network together.
+WORDS_AT_ONCE = 1024
+#: Languages are output classes of the network, so there are few; more labels are an error.
+MAX_LANGS = 1000
 
 _LETTER = np.zeros(256, bool)
 _LETTER[97:123] = True
@@ -168,7 +172,7 @@ def predict(net: Network, col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
             flat = low[at[rows][:, None] + np.arange(length)]
             one, back = np.unique(np.ascontiguousarray(flat).view(f"S{length}" if not (flat == 0).any() else f"V{length}").ravel(), return_inverse=True)
             x = np.frombuffer(one.tobytes(), np.uint8).reshape(len(one), length)
-            got = np.concatenate([net.labels(x[i : i + 4096]).sum(0) for i in range(0, len(x), 4096)])
+            got = np.concatenate([net.labels(x[i : i + WORDS_AT_ONCE]).sum(0) for i in range(0, len(x), WORDS_AT_ONCE)])
             votes[rows] = got[back]
         sums = np.vstack([np.zeros((1, votes.shape[1])), np.cumsum(votes, 0)])
         total[a:z] = sums[ptr[1:]] - sums[ptr[:-1]]
@@ -202,17 +206,21 @@ def train(docs: DataFrame, docs_a_lang: int = DOCS_A_LANG, words_a_lang: int = W
 
     The sample is, for each language, the rows whose hash of doc_id is below
     the share that gives about ``docs_a_lang`` rows, and of their words the
-    ``words_a_lang`` of smallest hash. None if there is no such row.
+    ``words_a_lang`` of smallest hash. Rows of one doc_id, and those without,
+    are in it or out of it together. None if there is no such row; more than
+    ``MAX_LANGS`` languages are an error.
     """
     ship_package(docs.sparkSession)
     rows = docs.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     sizes = rows.groupBy("lang").agg(F.count("*").alias("rows"))
-    langs = sorted(r["lang"] for r in sizes.collect())  # one row a language
+    langs = sorted(r["lang"] for r in sizes.select("lang").limit(MAX_LANGS + 1).collect())
     if not langs:
         return None
+    if len(langs) > MAX_LANGS:
+        raise ValueError(f"more than {MAX_LANGS} values of lang")
     hashed = F.pmod(F.xxhash64(F.col("doc_id")), F.lit(1 << 30)) / float(1 << 30)
-    few = rows.join(F.broadcast(sizes.limit(10_000)), "lang").where(hashed < docs_a_lang / F.col("rows")).select("lang", "text")
-    found = few.mapInArrow(_words, "lang string, word binary, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    few = rows.join(F.broadcast(sizes), "lang").where(hashed < docs_a_lang / F.col("rows")).select("lang", "text")
+    found = few.mapInArrow(words.frugal(_words), "lang string, word binary, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
     limit = words_a_lang * len(langs)
     per_word = found.groupBy("word").agg(F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"))  # a row a language at most
     got = per_word.orderBy(F.xxhash64("word"), "word").limit(limit).collect()
@@ -256,7 +264,7 @@ def identify(docs: DataFrame, net: Network | None) -> DataFrame:
                 best = np.clip(np.where([x != UNKNOWN for x in lang], best, 0.0), 0, 1)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(lang, pa.string()), pa.array(best)], names=out.names)
 
-    return base.mapInArrow(run, out)
+    return base.mapInArrow(words.frugal(run), out)
 
 
 def _has_letter(text: pa.StringScalar) -> bool:

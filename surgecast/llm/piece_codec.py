@@ -30,7 +30,7 @@ from surgecast.session import ship_package
 MARK = "▁"
 #: Parts and pairs kept per worker (about 260 and 130 bytes each, the parts in two
 #: generations), and the longest part that is kept.
-KEPT_PARTS, KEPT_PAIRS, KEPT_CHARS = 200_000, 600_000, 48
+KEPT_PARTS, KEPT_PAIRS, KEPT_CHARS = 100_000, 200_000, 48
 
 
 class PieceDecoder:

@@ -42,6 +42,16 @@ def release() -> None:
         pass
 
 
+def frugal(run):
+    """``run`` (batches to batches) with freed memory given back after the last batch."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        release()
+
+    return wrapped
+
+
 def _class(ranges: list[tuple[int, int]]) -> np.ndarray:
     out = np.ones(256, dtype=bool)
     for a, b in ranges:
