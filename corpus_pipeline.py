@@ -6,8 +6,9 @@ writes as Parquet and reads again as the next stage's docs.
 
 Null and empty texts have no letters and go in the first stage; later stages
 handle them as their operators say. Repeated rows are copies, of which the
-third stage keeps one. Tables without rows give tables without rows, and
-further columns of the input pass through to the last stage.
+third stage keeps one. Tables without rows give tables without rows. Further
+columns of the input, whatever their names, pass through to the last stage,
+which replaces columns of the names it adds.
 """
 
 from __future__ import annotations
@@ -19,25 +20,39 @@ from surgecast.llm import decontaminate, jaccard_join, langid, line_dedup, piece
 from surgecast.session import prepare_session
 
 
+#: Columns that the stages read or write; others travel under names of their place.
+KNOWN = ("doc_id", "text", "lang", "n_chars")
+
+
+def _apart(docs: DataFrame) -> DataFrame:
+    """``docs`` with names no operator's columns clash with."""
+    return docs.toDF(*[c if c in KNOWN else f"_col{i}" for i, c in enumerate(docs.columns)])
+
+
+def _named(out: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` again."""
+    return out.select(*[F.col(a).alias(c) for a, c in zip(_apart(docs).columns, docs.columns)])
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told; an unknown ``lang`` is filled in."""
-    found = langid.identify(docs, langid.train(docs)).where(F.col("lang_pred") != langid.UNKNOWN)
-    return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+    found = langid.identify(_apart(docs), langid.train(docs)).where(F.col("lang_pred") != langid.UNKNOWN)
+    return _named(found.withColumn("lang", F.coalesce("lang", "lang_pred")), docs)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines repeated elsewhere; those left without text go."""
-    kept = line_dedup.dedup_lines(docs).where((F.col("n_dropped") == 0) | (F.btrim("kept", F.lit(" \t\n\x0b\x0c\r")) != ""))
-    return kept.withColumns({"text": F.col("kept"), "n_chars": F.length("kept").cast("long")}).select(*docs.columns)
+    kept = line_dedup.dedup_lines(_apart(docs)).where((F.col("n_dropped") == 0) | (F.btrim("kept", F.lit(" \t\n\x0b\x0c\r")) != ""))
+    return _named(kept.withColumns({"text": F.col("kept"), "n_chars": F.length("kept").cast("long")}), docs)
 
 
 def _with_key(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``own``: doc_ids in order, null ones last, and the text's hash.
+    """``docs`` apart with ``own``: doc_ids in order, null ones last, and the text's hash.
 
     Rows of one key are copies; doc_ids alone may be null or repeated.
     """
     key = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.xxhash64("text").alias("text_hash"))
-    return docs.withColumn("own", key)
+    return _apart(docs).withColumn("own", key)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,7 +60,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     keyed = _with_key(docs)
     groups = jaccard_join.similar_components(keyed.select(F.col("own").alias("doc_id"), "text"))
     first = groups.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("own")).distinct()
-    return keyed.join(first, "own", "left_semi").dropDuplicates(["own"]).select(*docs.columns)
+    return _named(keyed.join(first, "own", "left_semi").dropDuplicates(["own"]), docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,7 +68,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     keyed = _with_key(docs)
     judged = decontaminate.contamination(keyed.select(F.col("own").alias("doc_id"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     dirty = judged.where("contaminated").select(F.col("doc_id").alias("own")).distinct()
-    return keyed.join(dirty, "own", "left_anti").select(*docs.columns)
+    return _named(keyed.join(dirty, "own", "left_anti"), docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
