@@ -254,3 +254,20 @@ def test_pipeline_stages(spark):
     assert clean.columns == docs.columns and clean.count() <= first.count()
     out = cp.tokens(spark, clean, DIR)
     assert out.count() == clean.count() and out.where("size(ids) != n_tokens").count() == 0
+
+
+def test_pipeline_keeps_clashing_columns(spark):
+    import corpus_pipeline as cp
+
+    names = ["own", "kept", "n_lines", "n_dropped", "score", "lang_pred", "row", "size", "hits", "component_id", "_col0", "item_id", "win", "dotted"]
+    docs = spark.read.parquet(f"{DIR}/documents.parquet").where("doc_id < 40")
+    docs = docs.withColumns({n: F.concat(F.lit(f"{n} "), F.col("doc_id").cast("string")) for n in names})
+    want = {r.doc_id: tuple(r[n] for n in names) for r in docs.collect()}
+    now = docs
+    for name, stage in cp.STAGES[:-1]:
+        now = stage(spark, now, DIR)
+        assert now.columns == docs.columns
+        rows = now.collect()
+        assert rows and all(tuple(r[n] for n in names) == want[r.doc_id] for r in rows), name
+    out = cp.tokens(spark, now, DIR).collect()
+    assert len(out) == len(rows) and all(tuple(r[n] for n in names) == want[r.doc_id] for r in out)
