@@ -10,7 +10,8 @@ row per series) in ``applyInPandas``.
 
 Semantics follow the reference's library calls:
 * Box-Cox with maximum-likelihood lambda (TS4): llf(l) = (l-1) sum ln x - n/2 ln var(x_l).
-  Lambda is found by a coarse grid over [-2, 2] then a fine grid around the best.
+  Lambda is found by a coarse grid over [-2, 2], a fine grid around the best and, for
+  the forecast, a golden-section search between its neighbours.
 * Additive decomposition with period P (TS5): centred moving average trend
   (weights 1/2P at both ends for even P), ends extrapolated by least squares
   on the nearest P trend points, seasonal = centred phase means of the
@@ -25,6 +26,7 @@ Semantics follow the reference's library calls:
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 import numpy as np
@@ -62,40 +64,62 @@ def inv_boxcox_expr(y: Column, lam: Column) -> Column:
     return F.when(lam == 0, F.exp(y)).when(base > 0, F.pow(base, 1 / lam))
 
 
-def _llf_pass(df: DataFrame, keys: Keys, value: str, grid: Column) -> DataFrame:
-    x = F.col(value).cast("double")
-    ex = df.where(x > 0).select(*keys, x.alias("_x"), F.explode(grid).alias("_lam"))
-    agg = ex.groupBy(*keys, "_lam").agg(
-        F.var_pop(boxcox_expr(F.col("_x"), F.col("_lam"))).alias("_var"),
-        F.sum(F.log("_x")).alias("_sl"),
-        F.count(F.lit(1)).alias("_cnt"),
-    )
-    llf = (F.col("_lam") - 1) * F.col("_sl") - F.col("_cnt") / 2 * F.log("_var")
-    return agg.withColumn("llf", llf).groupBy(*keys).agg(
-        F.max_by("_lam", F.struct(F.col("llf"), -F.col("_lam"))).alias("lmbda"), F.max("llf").alias("llf")
-    )
-
+def _likelihood(x: np.ndarray, lam: float) -> float:
+    """Log-likelihood of a series of positive values under ``lam``; -inf where the transform is constant."""
+    logs = np.log(x)
+    y = logs if lam == 0 else (x**lam - 1) / lam
+    var = y.var()
+    return (lam - 1) * logs.sum() - len(x) / 2 * math.log(var) if var > 0 else -math.inf
+
+
+def best_lambda(x: np.ndarray, coarse: float, fine: float, refine: bool) -> tuple[float, float]:
+    """(lambda, likelihood): the best of a grid over [-2, 2], then of a finer one
+    around it; with ``refine`` the maximum between its neighbours by golden
+    section. Of equals the smallest lambda counts."""
+    found = 0.0, 0.0
+    steps, near = int(round(4 / coarse)), int(round(coarse / fine))
+    grid = [round(k * coarse - 2, 6) for k in range(steps + 1)]
+    for _ in range(2):
+        found = max(((_likelihood(x, v), -v) for v in grid))
+        grid = [round(-found[1] + k * fine, 9) for k in range(-near, near + 1)]
+    lam, top = -found[1], found[0]
+    if refine and math.isfinite(top):
+        share = (math.sqrt(5) - 1) / 2
+        lo, hi = lam - fine, lam + fine
+        c, d = hi - share * (hi - lo), lo + share * (hi - lo)
+        fc, fd = _likelihood(x, c), _likelihood(x, d)
+        while hi - lo > 1e-7:
+            if fc >= fd:
+                hi, d, fd = d, c, fc
+                c = hi - share * (hi - lo)
+                fc = _likelihood(x, c)
+            else:
+                lo, c, fc = c, d, fd
+                d = lo + share * (hi - lo)
+                fd = _likelihood(x, d)
+        top, lam = max((top, lam), (_likelihood(x, (lo + hi) / 2), (lo + hi) / 2))
+    return lam, top
+
+
+def boxcox_lambda(df: DataFrame, keys: Keys, value: str = "value", coarse: float = 0.05, fine: float = 0.001, refine: bool = False) -> DataFrame:
+    """TS4 fit: per-series maximum-likelihood lambda (``lmbda``, ``llf``).
+
+    Rows are shuffled once, whatever the number of candidates: a series, which
+    has span / grain points, is one array, on which all candidates are tried.
+    Values that aren't positive take no part; a series without others has no row."""
+    kc = list(keys)
+    schema = ", ".join([*(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in kc), "lmbda double", "llf double"])
 
-def boxcox_lambda(df: DataFrame, keys: Keys, value: str = "value", coarse: float = 0.05, fine: float = 0.001) -> DataFrame:
-    """TS4 fit: per-series maximum-likelihood lambda (grid search, two passes).
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        lam, top = best_lambda(np.sort(pdf["_x"].to_numpy(float)), coarse, fine, refine)
+        return pd.DataFrame([(*key, lam, top if math.isfinite(top) else None)], columns=[*kc, "lmbda", "llf"])
 
-    Every (series, lambda) pair is its own aggregation group, so a long series
-    spreads over as many tasks as there are grid points.
-    """
-    n_coarse = int(round(4 / coarse))
-    grid1 = F.transform(F.sequence(F.lit(0), F.lit(n_coarse)), lambda k: F.round(k * coarse - 2, 6))
-    best = _llf_pass(df, keys, value, grid1)
-    n_fine = int(round(coarse / fine))
-    refined = df.join(best.select(*keys, F.col("lmbda").alias("_l0")), list(keys))
-    grid2 = F.transform(
-        F.sequence(F.lit(-n_fine), F.lit(n_fine)), lambda k: F.round(F.col("_l0") + k * fine, 9)
-    )
-    return _llf_pass(refined, keys, value, grid2)
+    return df.select(*kc, F.col(value).cast("double").alias("_x")).where("_x > 0").groupBy(*kc).applyInPandas(run, schema)
 
 
 def boxcox_transform(df: DataFrame, keys: Keys, value: str = "value", out: str = "box_cox") -> DataFrame:
     """TS4: Box-Cox transformed column with the per-series lambda (``lmbda``)."""
-    lam = boxcox_lambda(df, keys, value)
+    lam = boxcox_lambda(df, keys, value, refine=True)
     j = df.join(lam.select(*keys, "lmbda"), list(keys))
     x = F.col(value).cast("double")
     return j.withColumn(out, F.when(x > 0, boxcox_expr(x, F.col("lmbda"))))

@@ -161,6 +161,17 @@ def test_boxcox_lambda_matches_brute_force(spark):
     assert abs(lam) < 0.3  # log-normal data: lambda near 0
 
 
+def test_boxcox_lambda_refined_is_the_maximum():
+    rng = np.random.default_rng(6)
+    for x in (np.exp(rng.normal(2, 0.5, 300)), rng.uniform(1, 9, 300), rng.gamma(2, 3, 300) + 0.1):
+        lam, top = dc.best_lambda(np.sort(x), 0.05, 0.001, True)
+        dense = np.linspace(lam - 0.002, lam + 0.002, 4001)
+        best = max(dense, key=lambda v: dc._likelihood(np.sort(x), v))
+        assert abs(lam - best) < 1e-5 and top >= dc._likelihood(np.sort(x), best) - 1e-9
+    assert abs(dc.best_lambda(np.full(5, 3.0), 0.05, 0.001, True)[0]) <= 2.06  # any lambda does for a constant
+    assert dc.best_lambda(np.array([1.0]), 0.05, 0.001, True) == (-2.05, -math.inf)
+
+
 def test_trend_forecast_of_a_line_is_the_line(spark):
     vals = [2.0 + 0.5 * i for i in range(100)]
     g = dc.with_index(_series(spark, vals), ["series_id"], "ts")
