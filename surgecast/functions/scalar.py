@@ -34,11 +34,6 @@ def sample_weight(y: ColumnOrName) -> Column:
     return F.when(_c(y) >= 0, F.sqrt(_c(y)))
 
 
-def log_feature(x: ColumnOrName) -> Column:
-    """PRJ25: log(x + 1)."""
-    return F.log1p(_c(x))
-
-
 def percent_diff(a: ColumnOrName, b: ColumnOrName) -> Column:
     """PRJ26: 100 (a - b) / b, rounded half-to-even to an integer; null when b = 0."""
     return F.bround(F.try_divide(F.lit(100.0) * (_c(a) - _c(b)), _c(b)), 0)
@@ -65,13 +60,3 @@ def exact_sum(x: ColumnOrName, over=None) -> Column:
     ``over`` is an optional window spec."""
     s = F.sum(_c(x).cast("decimal(30,10)"))
     return (s.over(over) if over is not None else s).cast("double")
-
-
-def exact_mean(x: ColumnOrName, over=None) -> Column:
-    """Mean of the non-null values over an exact decimal sum."""
-    n = F.count(_c(x))
-    return exact_sum(x, over) / (n.over(over) if over is not None else n)
-
-
-def round6(x: ColumnOrName) -> Column:
-    return F.round(_c(x), 6)

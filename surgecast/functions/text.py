@@ -104,15 +104,6 @@ def annotation_text(metrics: ColumnOrName) -> Column:
     return F.concat(F.lit("based on "), F.array_join(_c(metrics), ", "))
 
 
-def period_message(start: ColumnOrName, end: ColumnOrName) -> Column:
-    """PRJ30: one message line per anomalous period."""
-    return F.format_string(
-        "from %s till %s",
-        F.date_format(_c(start), "yyyy-MM-dd HH:mm:ss"),
-        F.date_format(_c(end), "yyyy-MM-dd HH:mm:ss"),
-    )
-
-
 def map_values(col: ColumnOrName, mapping: dict[str, str]) -> Column:
     """PRJ16: replace values found in ``mapping``; others are kept."""
     if not mapping:

@@ -42,11 +42,6 @@ def to_utc_ts(ts: ColumnOrName) -> Column:
     return _c(ts).cast("timestamp")
 
 
-def to_naive(ts: ColumnOrName) -> Column:
-    """Naive timestamp for output (what DuckDB and pandas see)."""
-    return _c(ts).cast("timestamp_ntz")
-
-
 def quantize_next(ts: ColumnOrName, grain_seconds: int = 300) -> Column:
     """PRJ4: the strictly next grain mark, after rounding seconds >= 30 up a minute.
 

@@ -10,7 +10,6 @@ event are bounded by the event duration over the grain.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -174,7 +173,3 @@ def guard(df: DataFrame, condition: Column, message: str) -> DataFrame:
     """FIL16: the rows of ``df``; the job fails with ``message`` at the first row
     for which ``condition`` isn't true (a filter, which no projection can prune)."""
     return df.where(F.when(condition, F.lit(True)).otherwise(F.raise_error(F.lit(message)).cast("boolean")))
-
-
-def as_datetime(v) -> datetime:
-    return v if isinstance(v, datetime) else datetime.fromisoformat(str(v))

@@ -12,17 +12,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from surgecast.functions.text import map_values
 
 
-def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """WIN7: one row per key, the last by ``order`` (a total order must be given)."""
-    w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in order])
-    return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
-
-
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """WIN7 without a window: ``max_by`` of the whole row per key.
 

@@ -54,13 +54,3 @@ def fit(pipeline: Pipeline, train: DataFrame) -> PipelineModel:
 def score(model: PipelineModel, df: DataFrame, keep: Sequence[str] = ("id", "ds")) -> DataFrame:
     """ML7 + JON15: predictions next to their ids (no positional join)."""
     return model.transform(df).select(*keep, F.col("prediction").alias("yhat"))
-
-
-def save_model(model: PipelineModel, path: str) -> str:
-    """SNK10: persist the fitted pipeline (reused by batch scoring)."""
-    model.write().overwrite().save(path)
-    return path
-
-
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
