@@ -66,9 +66,11 @@ SELECT n_name AS team_name, 2024 AS year, n_nationkey + 1 AS league_rank FROM na
 SELECT 'svc' || cast(r_regionkey AS varchar) AS service, r_name AS region,
        cast(1000 + r_regionkey AS varchar) AS account_id, 'cl-' || r_name AS cluster_name FROM region""",
     "ranking_pages": """
-SELECT n_regionkey AS page_id, '<table><tr><th>Rk</th><th>Team</th></tr><tr><td>1</td><td>' || min(n_name)
-       || '</td></tr><tr><td>2</td><td>' || max(n_name) || '</td></tr></table>' AS html
-FROM nation GROUP BY n_regionkey""",
+        SELECT page_id, '<table><tr><th>Rk</th><th>Team</th></tr>' ||
+               string_agg('<tr><td>' || rk || '</td><td> <b>' || c_name || '</b></td></tr>', '' ORDER BY rk) || '</table>' AS html
+        FROM (SELECT c_custkey // 50 AS page_id, c_name,
+                     row_number() OVER (PARTITION BY c_custkey // 50 ORDER BY c_acctbal DESC, c_custkey) AS rk FROM customer) x
+        GROUP BY page_id""",
 }
 
 

@@ -199,13 +199,11 @@ class Tables:
 
     @cached_property
     def ranking_pages(self) -> DataFrame:
-        """One HTML ranking table per region, built from nation rows."""
-        return self.nation.groupBy(F.col("n_regionkey").alias("page_id")).agg(
-            F.concat(
-                F.lit("<table><tr><th>Rk</th><th>Team</th></tr><tr><td>1</td><td>"),
-                F.min("n_name"),
-                F.lit("</td></tr><tr><td>2</td><td>"),
-                F.max("n_name"),
-                F.lit("</td></tr></table>"),
-            ).alias("html")
-        )
+        """HTML ranking tables of at most 50 customers each, by account balance."""
+        page = F.floor(F.col("c_custkey") / 50).cast("bigint")
+        rank = F.row_number().over(Window.partitionBy("page_id").orderBy(F.desc("c_acctbal"), "c_custkey"))
+        ranked = self.customer.select(page.alias("page_id"), "c_custkey", "c_name", "c_acctbal").withColumn("rank", rank)
+        row = F.concat(F.lit("<tr><td>"), F.col("rank").cast("string"), F.lit("</td><td> <b>"), "c_name", F.lit("</b></td></tr>"))
+        rows = F.array_sort(F.collect_list(F.struct("rank", row.alias("row"))))
+        return ranked.groupBy("page_id").agg(F.concat(
+            F.lit("<table><tr><th>Rk</th><th>Team</th></tr>"), F.array_join(F.transform(rows, lambda r: r["row"]), ""), F.lit("</table>")).alias("html"))
