@@ -135,6 +135,21 @@ def interval_events(intervals: DataFrame, events: DataFrame, sports: Sequence[st
     return numbered(found.drop("start_ds", "end_ds"), [*kc, "interval", "sport"])
 
 
+def event_ids(events: DataFrame, keys: Keys = (), sep: str = ",") -> DataFrame:
+    """AGG6: per interval, a map from sport to the ids of its :func:`interval_events`
+    joined in the order of (start, id). Sports without events are left out.
+
+    Ids are joined within a day, then the days' texts: a task sorts one day's
+    events, and of a whole (interval, sport) holds only the joined text itself."""
+    kc = [*keys, "interval"]
+    days = events.groupBy(*kc, "sport", F.to_date("start").alias("_day")).agg(
+        F.array_sort(F.collect_list(F.struct("start", "id"))).alias("_e"))  # one day's events
+    days = days.select(*kc, "sport", "_day", F.array_join(F.col("_e")["id"], sep).alias("_ids"))
+    sports = days.groupBy(*kc, "sport").agg(F.array_sort(F.collect_list(F.struct("_day", "_ids"))).alias("_d"))  # a text a day
+    sports = sports.select(*kc, "sport", F.array_join(F.col("_d")["_ids"], sep).alias("_ids"))
+    return sports.groupBy(*kc).agg(F.map_from_entries(F.collect_list(F.struct("sport", "_ids"))).alias("event_ids"))  # one entry a sport
+
+
 @dataclass(frozen=True)
 class AdjustConfig:
     """Thresholds of the reference's adjustment (defaults as there)."""

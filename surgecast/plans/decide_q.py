@@ -8,6 +8,7 @@ from surgecast.functions.timeparts import year_month
 from surgecast.operators import decide as de
 from surgecast.plans.oracle_views import ctes
 from surgecast.plans.registry import finish, query
+from surgecast.session import materialize
 from surgecast.sinks.files import scratch_path, write_dated
 from surgecast.sinks.tables import PublishedTable
 from surgecast.sources import asof
@@ -40,21 +41,31 @@ INTERVAL_CTES = {
                      cast(id AS varchar) AS id FROM calendar
               WHERE date_utc <= TIMESTAMP '{PERIOD[1]}' AND end_with_avg_duration >= TIMESTAMP '{PERIOD[0]}'""",
 }
-INTERVALS_SQL = ctes("predictions_full", "scheduled_tasks", "calendar", extra=INTERVAL_CTES) + """
+INTERVALS_SQL = ctes("predictions_full", "scheduled_tasks", "calendar", extra=INTERVAL_CTES | {
+    "se": """SELECT sh.interval, sh.sport, sh.weight, string_agg(ev.id, ',' ORDER BY ev.start, ev.id) AS ids
+             FROM sh LEFT JOIN ev ON ev.sport = sh.sport AND ev.start <= sh.end_ds AND ev."end" >= sh.start_ds
+             GROUP BY sh.interval, sh.sport, sh.weight"""}) + """
 SELECT cast(iv.interval AS bigint) AS interval, iv.start_ds, iv.end_ds, cast(iv.n_tasks AS bigint) AS n_tasks, iv.max_tasks_timestamp,
-       round(max(CASE WHEN sh.sport = 'click' THEN sh.weight END), 6) AS w_click,
-       round(max(CASE WHEN sh.sport = 'view' THEN sh.weight END), 6) AS w_view,
-       round(max(CASE WHEN sh.sport = 'purchase' THEN sh.weight END), 6) AS w_purchase
-FROM iv JOIN sh ON sh.interval = iv.interval
+       round(max(CASE WHEN se.sport = 'click' THEN se.weight END), 6) AS w_click,
+       round(max(CASE WHEN se.sport = 'view' THEN se.weight END), 6) AS w_view,
+       round(max(CASE WHEN se.sport = 'purchase' THEN se.weight END), 6) AS w_purchase,
+       coalesce(max(CASE WHEN se.sport = 'click' THEN se.ids END), '') AS ev_click,
+       coalesce(max(CASE WHEN se.sport = 'view' THEN se.ids END), '') AS ev_view,
+       coalesce(max(CASE WHEN se.sport = 'purchase' THEN se.ids END), '') AS ev_purchase
+FROM iv JOIN se ON se.interval = iv.interval
 GROUP BY iv.interval, iv.start_ds, iv.end_ds, iv.n_tasks, iv.max_tasks_timestamp"""
 
 
-@query("traffic_intervals", ops=("DEC3", "FIL9", "FIL20", "WIN5", "JON13", "AGG5", "AGG6", "FIL11"), sql=INTERVALS_SQL)
+@query("traffic_intervals", ops=("DEC3", "FIL9", "FIL20", "WIN5", "JON13", "AGG5", "AGG6", "JON11", "FIL11", "FIL10", "PRJ24"), sql=INTERVALS_SQL)
 def traffic_intervals(spark, sf_dir):
-    """Extra-traffic intervals with task peak and sport shares."""
+    """Extra-traffic intervals with task peak, sport shares and overlapping events."""
     t = Tables(spark, sf_dir)
-    m = F.col("sport_weight_in_extra_traffic")
-    return finish(_intervals(t).select("interval", "start_ds", "end_ds", "n_tasks", "max_tasks_timestamp", *[m[s].alias(f"w_{s}") for s in SPORTS.values()]))
+    iv = materialize(_intervals(t))  # an interval a row; read again for its events
+    ids = de.event_ids(de.interval_events(iv, de.calendar_events(t.calendar, *PERIOD), list(SPORTS.values())))
+    m, e = F.col("sport_weight_in_extra_traffic"), F.col("event_ids")
+    cols = {f"w_{s}": m[s] for s in SPORTS.values()} | {f"ev_{s}": F.coalesce(F.try_element_at(e, F.lit(s)), F.lit("")) for s in SPORTS.values()}
+    out = iv.join(ids, "interval", "left")
+    return finish(out.select("interval", "start_ds", "end_ds", "n_tasks", "max_tasks_timestamp", *[v.alias(k) for k, v in cols.items()]))
 
 
 @query("interval_events", ops=("AGG6", "JON11", "FIL10", "PRJ24", "DEC3"), sql=ctes("predictions_full", "scheduled_tasks", "calendar", extra=INTERVAL_CTES) + """
