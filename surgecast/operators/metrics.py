@@ -4,7 +4,7 @@ Means, sums and deviations are one grouped aggregate (partial aggregation).
 Medians are exact but never buffer a whole group in one task: an approximate
 quantile brackets the middle ranks, rows below the bracket are only counted,
 and rows inside it are reduced to (value, count) pairs before the middle order
-statistics are located (see :func:`exact_median`).
+statistics are located (see :func:`exact_medians`).
 """
 
 from __future__ import annotations
@@ -18,40 +18,61 @@ from pyspark.sql.window import Window
 from surgecast.functions.scalar import exact_sum
 
 METRIC_DIGITS = 10  # the report keeps ten decimals
+SALTS = 64  # tasks that a group's rows are dealt over
 
 
-def exact_median(df: DataFrame, keys: Sequence[str], value: Column, *, accuracy: int = 10000,
-                 out: str = "median") -> DataFrame:
+def _with_brackets(base: DataFrame, keys: list[str], qs: Sequence[float], accuracy: int) -> DataFrame:
+    """``base`` (keys, ``_v``) with its group's row count ``_n`` and approximate
+    brackets ``_q`` (low and high edge of each of ``qs``).
+
+    Rows meet their group's brackets by (keys, hash of the value): a group's
+    rows are dealt over up to SALTS tasks, however few groups there are, and
+    equal values stay together."""
+    half = 2.0 / accuracy
+    edges = [p for q in qs for p in (max(0.0, q - half), min(1.0, q + half))]
+    stats = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.percentile_approx("_v", edges, accuracy).alias("_q"))
+    stats = stats.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salt = F.pmod(F.xxhash64("_v"), F.lit(SALTS)).cast("int")
+    return base.withColumn("_salt", salt).join(stats, [*keys, "_salt"])
+
+
+def exact_medians(df: DataFrame, keys: Sequence[str], values: dict[str, Column], *, accuracy: int = 10000) -> DataFrame:
     """Exact median per group (linear interpolation of the two middle values,
-    as ``median``) without holding a group in one task.
+    as ``median``) of each of ``values`` without holding a group in one task.
 
     1. ``percentile_approx`` at 0.5 -/+ 2/accuracy gives a value bracket that
        contains the middle ranks (rank error <= n / accuracy).
-    2. Rows below the bracket are counted; rows inside are grouped to
-       (value, count), so a bracket holds about 4 n / accuracy distinct values.
-    3. A cumulative count over the bracket's values finds the values at the
-       middle ranks (n-1)//2 and n//2.
+    2. Rows inside the bracket are grouped to (value, count), so a bracket
+       holds about 4 n / accuracy distinct values; those below it become one
+       row without a value.
+    3. A cumulative count over these rows finds the values at the middle ranks
+       (n-1)//2 and n//2.
+
+    Nulls take no part; a group with no value at all has no row.
     """
     kc = list(keys)
-    base = df.select(*kc, value.alias("_v")).where(F.col("_v").isNotNull())
-    half = 2.0 / accuracy
-    stats = base.groupBy(*kc).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.percentile_approx("_v", F.array(F.lit(max(0.0, 0.5 - half)), F.lit(min(1.0, 0.5 + half))), accuracy).alias("_q"),
-    ).select(*kc, "_n", F.col("_q")[0].alias("_lo"), F.col("_q")[1].alias("_hi"))
-    j = base.join(stats, kc)
-    below = j.groupBy(*kc).agg(F.sum(F.when(F.col("_v") < F.col("_lo"), 1).otherwise(0)).alias("_below"))
-    inside = j.where((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi"))).groupBy(*kc, "_v").agg(
-        F.count(F.lit(1)).alias("_c"))
-    w = Window.partitionBy(*kc).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = inside.withColumn("_cum", F.sum("_c").over(w)).join(below, kc).join(stats.select(*kc, "_n"), kc)
-    # value at 0-based rank r: the first value whose cumulative count (plus rows below) exceeds r
-    r1 = F.floor((F.col("_n") - 1) / 2)
-    r2 = F.floor(F.col("_n") / 2)
-    reach = F.col("_below") + F.col("_cum")
-    picked = ranked.groupBy(*kc).agg(
-        F.min(F.when(reach > r1, F.col("_v"))).alias("_v1"), F.min(F.when(reach > r2, F.col("_v"))).alias("_v2"))
-    return picked.select(*kc, (F.col("_v1") * 0.5 + F.col("_v2") * 0.5).alias(out))
+    named = F.explode(F.array(*[F.struct(F.lit(i).alias("_i"), v.cast("double").alias("_v")) for i, v in enumerate(values.values())]))
+    base = df.select(*kc, named.alias("_x")).select(*kc, "_x.*").where(F.col("_v").isNotNull())
+    g = [*kc, "_i"]
+    lo, hi = F.col("_q")[0], F.col("_q")[1]
+    rows = _with_brackets(base, g, [0.5], accuracy).where(F.col("_v") <= hi)
+    found = rows.select(*g, "_n", F.when(F.col("_v") >= lo, F.col("_v")).alias("_v")).groupBy(*g, "_v").agg(
+        F.count(F.lit(1)).alias("_c"), F.max("_n").alias("_n"))
+    w = Window.partitionBy(*g).orderBy(F.col("_v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    ranked = found.withColumn("_cum", F.sum("_c").over(w)).where(F.col("_v").isNotNull())
+    # value at 0-based rank r: the first value whose cumulative count exceeds r
+
+    def at_rank(i: int, r: Column) -> Column:
+        return F.min(F.when((F.col("_i") == i) & (F.col("_cum") > r), F.col("_v")))
+
+    r1, r2 = F.floor((F.col("_n") - 1) / 2), F.floor(F.col("_n") / 2)
+    return ranked.groupBy(*kc).agg(*[(at_rank(i, r1) * 0.5 + at_rank(i, r2) * 0.5).alias(out) for i, out in enumerate(values)])
+
+
+def exact_median(df: DataFrame, keys: Sequence[str], value: Column, *, accuracy: int = 10000,
+                 out: str = "median") -> DataFrame:
+    """:func:`exact_medians` of one value."""
+    return exact_medians(df, keys, {out: value}, accuracy=accuracy)
 
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: Column, qs: Sequence[float], *, accuracy: int = 10000,
@@ -60,25 +81,22 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: Column, qs: Seque
     ``percentile``) as an array in the order of ``qs``, without holding a group's
     values in one place. Without keys the whole frame is one group.
 
-    As in :func:`exact_median`: an approximate bracket around each quantile, a
+    As in :func:`exact_medians`: an approximate bracket around each quantile, a
     count of the rows below it, and a cumulative count of the values inside. In
     small groups a rank may be the one just outside, so the neighbours of the
     bracket are kept, too. Nulls take no part; a group without values has no row."""
     kc, n_q = list(keys), len(qs)
     base = df.select(*([F.col(k) for k in kc] or [F.lit(0).alias("_all")]), value.cast("double").alias("_v")).where("_v IS NOT NULL")
     g = kc or ["_all"]
-    half = 2.0 / accuracy
-    edges = [p for q in qs for p in (max(0.0, q - half), min(1.0, q + half))]
-    stats = base.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"), F.percentile_approx("_v", edges, accuracy).alias("_q"))
-    j = base.join(stats, g)
+    j = _with_brackets(base, g, qs, accuracy)
     lo, hi = (lambda i: F.col("_q")[2 * i]), (lambda i: F.col("_q")[2 * i + 1])
     outside = [F.struct(F.count_if(F.col("_v") < lo(i)).alias("n"), F.max(F.when(F.col("_v") < lo(i), F.col("_v"))).alias("last"),
                         F.min(F.when(F.col("_v") > hi(i), F.col("_v"))).alias("next")) for i in range(n_q)]
-    below = j.groupBy(*g).agg(F.array(*outside).alias("_out"))
+    below = j.groupBy(*g).agg(F.array(*outside).alias("_out"), F.max("_n").alias("_n"))
     held = F.array_compact(F.array(*[F.when((F.col("_v") >= lo(i)) & (F.col("_v") <= hi(i)), F.lit(i)) for i in range(n_q)]))
     inside = j.select(*g, F.explode(held).alias("_i"), "_v").groupBy(*g, "_i", "_v").agg(F.count(F.lit(1)).alias("_c"))
     w = Window.partitionBy(*g, "_i").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = inside.withColumn("_cum", F.sum("_c").over(w)).join(below, g).join(stats.select(*g, "_n"), g)
+    ranked = inside.withColumn("_cum", F.sum("_c").over(w)).join(below, g)
     place = F.element_at(F.array(*[F.lit(float(q)) for q in qs]), F.col("_i") + 1) * (F.col("_n") - 1)
     out_of = F.element_at("_out", F.col("_i") + 1)
 
@@ -113,8 +131,7 @@ def regression_metrics(scored: DataFrame, keys: Sequence[str] = (), y: str = "y"
     kc = list(keys)
     if kc:
         out = scored.groupBy(*kc).agg(*aggs)
-        out = out.join(exact_median(scored, kc, ae, out="med_ae"), kc, "left")
-        out = out.join(exact_median(scored, kc, ape_all, out="med_ape"), kc, "left")
+        out = out.join(exact_medians(scored, kc, {"med_ae": ae, "med_ape": ape_all}), kc, "left")
     else:
         whole = {n: exact_quantiles(scored, [], c, [0.5]).select(F.col("quantiles")[0]).scalar() for n, c in (("med_ae", ae), ("med_ape", ape_all))}
         out = scored.agg(*aggs).withColumns(whole)
