@@ -131,7 +131,7 @@ def nodes(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
             got = [(len(s), set_id(s) if len(s) else None) for s in words.shingle_sets(b.column(1), k)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x for x, _ in got], pa.int64()), pa.array([x for _, x in got], pa.int64())], names=["doc_id", "n", "node"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n long, node long")
+    return docs.select("doc_id", "text").mapInArrow(words.frugal(run), f"doc_id {kind}, n long, node long")
 
 
 def shingle_counts(docs: DataFrame, k: int) -> DataFrame:
@@ -148,11 +148,13 @@ def shingle_counts(docs: DataFrame, k: int) -> DataFrame:
         seen: set[int] = set()
         for b in batches:
             _, off = words.utf8(b.column(0))
-            for a, z in words.chunks(off, 8 * words.CHUNK_BYTES):
+            for a, z in words.chunks(off, 2 * words.CHUNK_BYTES):
                 sets = [s for _, s in _new_sets(b.column(0).slice(a, z - a), k, seen)]
                 if not sets:
                     continue
-                s = np.sort(np.concatenate(sets))
+                s = np.concatenate(sets)
+                del sets
+                s.sort()
                 ends = np.searchsorted(s >> np.uint64(64 - log), np.arange(ranges + 1, dtype=np.uint64))
                 low = np.ascontiguousarray(s.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 1:7])  # the range tells the highest byte
                 blobs = [low[x:y].tobytes() for x, y in zip(ends[:-1], ends[1:])]
@@ -179,8 +181,8 @@ def shingle_counts(docs: DataFrame, k: int) -> DataFrame:
         if held:
             yield done(at, held)
 
-    packed = docs.select("text").mapInArrow(cut, "part int, blob binary").where(F.length("blob") > 0)
-    return packed.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(count, "key long, n long")
+    packed = docs.select("text").mapInArrow(words.frugal(cut), "part int, blob binary").where(F.length("blob") > 0)
+    return packed.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(words.frugal(count), "key long, n long")
 
 
 def shingle_order(docs: DataFrame, k: int = SHINGLE) -> Order:
@@ -212,7 +214,7 @@ def shingle_order(docs: DataFrame, k: int = SHINGLE) -> Order:
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = counts.repartition(parts, F.shiftrightunsigned("key", shift - 8 + piece.bit_length() - 1))
     out, hot = np.zeros(bits // 8, np.uint8), [np.zeros(0, np.uint64)]
-    for r in dealt.mapInArrow(pack, "piece int, bytes binary").collect():  # MAX_BITS and MAX_HOT bound it
+    for r in dealt.mapInArrow(words.frugal(pack), "piece int, bytes binary").collect():  # MAX_BITS and MAX_HOT bound it
         if r["piece"] < 0:
             hot.append(np.frombuffer(bytes(r["bytes"]), np.uint64))
         else:
@@ -235,7 +237,7 @@ def memberships(docs: DataFrame, order, k: int, percent: int) -> DataFrame:
                     node = np.repeat(np.array([i for i, _ in got], np.int64), [len(s) for _, s in got])
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([s for _, s in got]).view(np.int64)), pa.array(node)], names=["s", "node"])
 
-    return docs.select("text").mapInArrow(run, "s long, node long").distinct()
+    return docs.select("text").mapInArrow(words.frugal(run), "s long, node long").distinct()
 
 
 def _measure(k: int):
@@ -269,7 +271,7 @@ def measure(pairs: DataFrame, texts: DataFrame, k: int) -> DataFrame:
     salts = size.select("p", F.explode(F.sequence(F.lit(0), F.col("salts").cast("int") - 1)).alias("salt"))
     rows = salts.withColumn("x", F.col("p")).withColumn("kind", F.lit(0)).unionByName(salted.withColumn("kind", F.lit(1)))
     full = rows.join(texts.withColumnRenamed("node", "x"), "x").select("p", "salt", "kind", "x", "text")
-    return full.repartition("p", "salt").sortWithinPartitions("p", "salt", "kind").mapInArrow(_measure(k), "p long, x long, common long, n_p long, n_x long")
+    return full.repartition("p", "salt").sortWithinPartitions("p", "salt", "kind").mapInArrow(words.frugal(_measure(k)), "p long, x long, common long, n_p long, n_x long")
 
 
 def _block_links(k: int, percent: int):
@@ -337,7 +339,7 @@ def block_links(rest: DataFrame, texts: DataFrame, k: int, percent: int) -> Data
     act = full.where("active").withColumns({"kind": F.lit(0), "ai": mine("na"), "bj": F.explode(upto("nb"))}).select(*cols)
     mem = full.withColumns({"kind": F.lit(1), "bj": mine("nb"), "ai": F.explode(upto("na"))}).select(*cols)
     rows = act.unionByName(mem).repartition("p", "ai", "bj").sortWithinPartitions("p", "ai", "bj", "kind")
-    return rows.mapInArrow(_block_links(k, percent), "u long, v long")
+    return rows.mapInArrow(words.frugal(_block_links(k, percent)), "u long, v long")
 
 
 def links(docs: DataFrame, base: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
@@ -431,7 +433,7 @@ def _texts(docs: DataFrame, used: DataFrame, k: int) -> DataFrame:
 
     ids = used.select("node", F.col("doc_id").alias("id"))
     full = docs.select("doc_id", "text").join(ids, F.col("doc_id").eqNullSafe(F.col("id"))).select("node", "text")
-    return full.mapInArrow(run, "node long, text string").dropDuplicates(["node"])
+    return full.mapInArrow(words.frugal(run), "node long, text string").dropDuplicates(["node"])
 
 
 def similar_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:

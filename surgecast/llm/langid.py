@@ -148,9 +148,9 @@ def fit(langs: list[str], samples: list[tuple[bytes, np.ndarray]], hidden: int =
 
 
 def pieces(part: np.ndarray, off: np.ndarray):
-    """Words of the texts, cut into pieces: (hash, start, length, first piece of each text)."""
+    """Words of the texts, cut into pieces: (lower-cased bytes, start, length, first piece of each text)."""
     low = words.LOWER[part]
-    _, _, starts, ends = words.word_hashes(part, off, _LETTER)
+    starts, ends = words.word_spans(low, off, _LETTER)
     n = -(-(ends - starts) // PIECE)
     first = np.repeat(np.cumsum(n) - n, n)
     at = np.repeat(starts, n) + PIECE * (np.arange(len(first)) - first)
@@ -174,8 +174,9 @@ def predict(net: Network, col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
             x = np.frombuffer(one.tobytes(), np.uint8).reshape(len(one), length)
             got = np.concatenate([net.labels(x[i : i + WORDS_AT_ONCE]).sum(0) for i in range(0, len(x), WORDS_AT_ONCE)])
             votes[rows] = got[back]
-        sums = np.vstack([np.zeros((1, votes.shape[1])), np.cumsum(votes, 0)])
-        total[a:z] = sums[ptr[1:]] - sums[ptr[:-1]]
+        sums = np.cumsum(votes, 0, out=votes)
+        upto = np.where(ptr[:, None] > 0, sums[ptr - 1], 0.0)
+        total[a:z] = upto[1:] - upto[:-1]
         sizes = np.concatenate([[0], np.cumsum(size)])
         count[a:z] = sizes[ptr[1:]] - sizes[ptr[:-1]]
     return total / np.maximum(1, count)[:, None], count

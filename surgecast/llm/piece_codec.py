@@ -266,9 +266,8 @@ def tokenize(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", e
                 if decoded:
                     new[decoded] = pa.array([tool.decode(x) for x in got], pa.string())
                 yield _with(b.slice(a, z - a), out.names, new)
-        words.release()
 
-    return docs.mapInArrow(run, out)
+    return docs.mapInArrow(words.frugal(run), out)
 
 
 def detokenize(docs: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:

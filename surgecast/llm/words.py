@@ -15,6 +15,8 @@ import pyarrow.compute as pc
 
 #: Bytes of text handled at a time; bounds the temporary arrays.
 CHUNK_BYTES = 1 << 20
+#: Bytes of text hashed into shingles at a time: each takes a few 8-byte numbers.
+HASH_BYTES = 1 << 18
 MULT = np.uint64(0x9E3779B97F4A7C15)
 NGRAM = np.uint64(0xD6E8FEB86659FD93)
 
@@ -43,10 +45,16 @@ def release() -> None:
 
 
 def frugal(run):
-    """``run`` (batches to batches) with freed memory given back after the last batch."""
+    """``run`` (batches to batches) with freed memory given back before each further batch and after the last."""
+
+    def sparing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for i, b in enumerate(batches):
+            if i:
+                release()
+            yield b
 
     def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from run(batches)
+        yield from run(sparing(batches))
         release()
 
     return wrapped
@@ -70,7 +78,7 @@ _INV = np.uint64(pow(int(MULT), -1, 1 << 64))
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_pow["p"]) < n:
-        size = max(n, CHUNK_BYTES + 1)
+        size = next(s for s in (HASH_BYTES + 1, CHUNK_BYTES + 1, n) if s >= n)
         for key, base in (("p", MULT), ("i", _INV)):
             x = np.full(size, base, np.uint64)
             x[0] = 1
@@ -101,28 +109,34 @@ def chunks(off: np.ndarray, size: int | None = None) -> Iterator[tuple[int, int]
         a = b
 
 
-def word_hashes(buf: np.ndarray, off: np.ndarray, word: np.ndarray, lower: bool = True):
-    """Hashes of all words of the texts in ``buf``.
-
-    Returns (hashes, first word of each text with the total at the end,
-    start byte, end byte of each word).
-    """
-    low = LOWER[buf] if lower else buf
+def word_spans(low: np.ndarray, off: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start byte and end byte of all words of the texts in ``low``."""
     inside = word[low]
     if not inside.any():
-        z = np.zeros(0, np.int64)
-        return np.zeros(0, np.uint64), np.zeros(len(off), np.int64), z, z
-    edge = off[:-1][off[:-1] < len(buf)]
-    before = np.empty(len(buf), bool)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    edge = off[:-1][off[:-1] < len(low)]
+    before = np.empty(len(low), bool)
     before[0] = False
     before[1:] = inside[:-1]
     before[edge] = False
     starts = np.flatnonzero(inside & ~before)
-    after = np.empty(len(buf), bool)
+    after = np.empty(len(low), bool)
     after[-1] = False
     after[:-1] = inside[1:]
     after[edge[edge > 0] - 1] = False
-    ends = np.flatnonzero(inside & ~after) + 1
+    return starts, np.flatnonzero(inside & ~after) + 1
+
+
+def word_hashes(buf: np.ndarray, off: np.ndarray, word: np.ndarray, lower: bool = True):
+    """Hashes of all words of the texts in ``buf``.
+
+    Returns (hashes, first word of each text with the total at the end,
+    start byte, end byte of each word).
+    """
+    low = LOWER[buf] if lower else buf
+    starts, ends = word_spans(low, off, word)
+    if not len(starts):
+        return np.zeros(0, np.uint64), np.zeros(len(off), np.int64), starts, ends
     return span_hashes(low, starts, ends), np.searchsorted(starts, off), starts, ends
 
 
@@ -130,7 +144,10 @@ def span_hashes(low: np.ndarray, starts: np.ndarray, *ends: np.ndarray):
     """Hashes of the bytes from each start to each end; one array for each of ``ends``."""
     p, inv = _powers(len(low) + 1)
     total = np.zeros(len(low) + 1, np.uint64)
-    np.cumsum(_BYTE[low] * p[: len(low)], out=total[1:])
+    each = total[1:]  # in place, as these are 8 times the text
+    np.take(_BYTE, low, out=each, mode="clip")
+    each *= p[: len(low)]
+    np.cumsum(each, out=each)
     out = [mix((total[e] - total[starts]) * inv[starts] + (e - starts).astype(np.uint64) * NGRAM) for e in ends]
     return out if len(out) > 1 else out[0]
 
@@ -151,7 +168,7 @@ def shingle_sets(col: pa.Array, k: int) -> Iterator[np.ndarray]:
     """Sorted distinct k-word shingle hashes of each text, words being split at
     white space. Fewer words: the whole sequence as one; none: empty."""
     buf, off = utf8(col)
-    for a, b in chunks(off):
+    for a, b in chunks(off, HASH_BYTES):
         part = buf[off[a] : off[b]]
         h, ptr, _, _ = word_hashes(part, off[a : b + 1] - off[a], NOT_SPACE)
         grams = ngrams(h, k)

@@ -5,12 +5,14 @@ import hashlib
 import itertools
 import random
 import re
+import tracemalloc
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from surgecast.llm import components, decontaminate, jaccard_join, line_dedup, topk_search
+from surgecast.llm import components, decontaminate, jaccard_join, line_dedup, topk_search, words
 
 
 def lower(x):
@@ -71,6 +73,35 @@ def test_similar_components_of_no_rows(spark):
     assert jaccard_join.similar_components(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_shingle_sets_of_many_texts_take_little_memory():
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice(["ab", "cde", "Fgh", "ij", "klmno"]) for _ in range(600)) for _ in range(800)]
+    col = pa.array([*texts, None, "", " ".join(texts[:200])])  # the last is longer than a chunk
+    alone = [next(words.shingle_sets(pa.array([x], pa.string()), 5)) for x in texts[:20]]
+    words.shingle_sets(col.slice(0, 1), 5)
+    tracemalloc.start()
+    try:
+        got = []
+        for i, s in enumerate(words.shingle_sets(col.slice(0, 800), 5)):
+            if i < 20:
+                got.append(s.copy())
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert all(np.array_equal(a, b) for a, b in zip(alone, got, strict=True))
+    assert peak < 16e6, peak
+    sizes = [len(s) for s in words.shingle_sets(col, 5)]
+    assert sizes[800:802] == [0, 0] and sizes[802] == len(shingles(col[802].as_py()))
+
+
+def test_join_tasks_give_memory_back_between_batches(monkeypatch):
+    done = []
+    monkeypatch.setattr(words, "release", lambda: done.append(1))
+    run = words.frugal(lambda batches: (b for b in batches))
+    assert list(run(iter([1, 2, 3]))) == [1, 2, 3]
+    assert len(done) == 3
+
+
 def test_block_join_alone_finds_the_rest(spark, monkeypatch):
     """A chain: each text links to the next only, so a pivot reaches few."""
     monkeypatch.setattr(jaccard_join, "LARGE", 2)

@@ -1,6 +1,8 @@
 """Classifiers by held-out accuracy and gradients, HTML rules on hand-made pages,
 the pipeline by its stages' rules."""
 
+import tracemalloc
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -53,6 +55,24 @@ def test_language_of_odd_texts(spark):
     assert langid.train(spark.createDataFrame([], "doc_id long, text string, lang string")) is None
 
 
+def test_prediction_takes_little_memory_beside_the_texts():
+    net = langid.Network.new(["a", "b", "c"], 4)
+    rng = np.random.default_rng(3)
+    texts = ["".join(rng.choice(["ab ", "cd ", "é ", "efg, ", "hi "], 900)) for _ in range(600)]
+    col = pa.array([None, "", *texts, "..."])
+    tracemalloc.start()
+    try:
+        p, n = langid.predict(net, col)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 48e6, peak
+    assert n[:2].tolist() == [0, 0] and n[-1] == 0 and not p[[0, 1, -1]].any()
+    for i in (2, 300, 601):
+        q, m = langid.predict(net, col.slice(i, 1))
+        assert m[0] == n[i] and np.allclose(q[0], p[i], rtol=1e-9)
+
+
 def test_hold_out_rule(spark):
     got = spark.range(200).select("id", langid.held_out(F.col("id")).alias("h")).collect()
     assert all(r.h == langid.crc_held_out(r.id) for r in got)
