@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from surgecast.llm import words
 from surgecast.llm.components import components
-from surgecast.session import materialize, ship_package
+from surgecast.session import packed, ship_package, step
 
 #: Links: PERCENT_A * intersection >= PERCENT_B * union.
 SHINGLE, PERCENT = 5, 80
@@ -187,7 +187,7 @@ def shingle_counts(docs: DataFrame, k: int) -> DataFrame:
 
 def shingle_order(docs: DataFrame, k: int = SHINGLE) -> Order:
     """The order, from the counts of all documents' shingles; its maps have a fixed bound."""
-    counts = materialize(shingle_counts(docs, k))
+    counts = step(shingle_counts(docs, k))
     steps = [HOT << i for i in range(24)]
     sizes = counts.agg(F.count("*"), *[F.count(F.when(F.col("n") > h, 1)) for h in steps]).first()
     bits = 1 << 20
@@ -350,9 +350,9 @@ def links(docs: DataFrame, base: DataFrame, k: int = SHINGLE, percent: int = PER
     """
     spark = docs.sparkSession
     order = spark.sparkContext.broadcast(shingle_order(docs, k))
-    member = materialize(memberships(docs, order, k, percent))
+    member = step(memberships(docs, order, k, percent))
     region = member.groupBy("s").agg(F.count("*").alias("size")).where("size > 1")
-    member = materialize(member.join(region, "s"))
+    member = step(member.join(region, "s"))
     sizes = base.where("node is not null").groupBy("node").agg(F.max("n").alias("n"), F.min("doc_id").alias("doc_id"))
 
     small = member.where(F.col("size") <= LARGE).select("s", "node")
@@ -361,18 +361,18 @@ def links(docs: DataFrame, base: DataFrame, k: int = SHINGLE, percent: int = PER
     pairs = pairs.join(n.toDF("a", "na"), "a").join(n.toDF("b", "nb"), "b")
     least = F.greatest(F.lit(1), F.floor(F.least("na", "nb") / 16))
     fits = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
-    pairs = materialize(pairs.where((F.col("shared") >= least) & fits).select("a", "b"))
-    star = materialize(_pivots(member.where(F.col("size") > LARGE).select("s", "node")))
+    pairs = packed(step(pairs.where((F.col("shared") >= least) & fits).select("a", "b")))
+    star = packed(step(_pivots(member.where(F.col("size") > LARGE).select("s", "node"))))
 
     used = pairs.select("a").union(pairs.select("b")).union(star.select("p")).union(star.select("x")).distinct().toDF("node")
     used = used.join(sizes, "node")
-    texts = materialize(_texts(docs, used, k))
+    texts = step(_texts(docs, used, k))
 
     first = pairs.groupBy(F.col("b").alias("x")).agg(F.min("a").alias("p")).select("p", "x")
-    near = materialize(measure(first.union(star).distinct(), texts, k))
+    near = packed(step(measure(first.union(star).distinct(), texts, k)))
     is_link = linked(F.col("common"), F.col("n_p"), F.col("n_x"), percent)
     found = near.where(is_link).select(F.col("p").alias("u"), F.col("x").alias("v"))
-    comp = materialize(components(found))
+    comp = packed(step(components(found)))
 
     def label(df: DataFrame, c: str) -> DataFrame:
         out = df.join(comp.toDF(c, f"{c}_comp0"), c, "left")
@@ -380,7 +380,8 @@ def links(docs: DataFrame, base: DataFrame, k: int = SHINGLE, percent: int = PER
 
     # rest of the small regions
     rest = label(label(pairs.join(first.toDF("a", "b"), ["a", "b"], "left_anti"), "a"), "b").where("a_comp != b_comp")
-    late = measure(rest.select(F.col("a").alias("p"), F.col("b").alias("x")), texts, k)
+    rest = packed(step(rest.select(F.col("a").alias("p"), F.col("b").alias("x"))))
+    late = measure(rest, texts, k)
     found = late.where(is_link).select(F.col("p").alias("u"), F.col("x").alias("v"))
 
     # rest of the large regions: members with their distance to the pivot
@@ -388,22 +389,22 @@ def links(docs: DataFrame, base: DataFrame, k: int = SHINGLE, percent: int = PER
     large = star.join(near, ["p", "x"]).select("p", "x", dist.alias("d"))
     large = large.union(star.select("p", F.col("p").alias("x"), F.lit(0.0)).distinct())
     large = label(label(large, "x"), "p").select("p", "x", "d", F.col("x_comp").alias("comp"), (F.col("x_comp") != F.col("p_comp")).alias("active"))
-    large = materialize(large)
+    large = packed(step(large))
     for _ in range(ROUNDS - 1):
         # a new pivot out of the rest of each region takes what it reaches
         pivot = large.where("active").groupBy("p").agg(F.min("x").alias("q"))
-        reach = materialize(large.join(pivot, "p").where("x != q").select("p", "q", "x"))
-        more = materialize(measure(reach.select(F.col("q").alias("p"), "x").distinct(), texts, k).where(is_link).select(F.col("p").alias("q"), "x"))
+        reach = packed(step(large.join(pivot, "p").where("x != q").select("p", "q", "x")))
+        more = packed(step(measure(reach.select(F.col("q").alias("p"), "x").distinct(), texts, k).where(is_link).select(F.col("p").alias("q"), "x")))
         found = found.union(more)
         joins = large.join(reach.join(more, ["q", "x"]).select("p", "x", F.lit(True).alias("hit")), ["p", "x"], "left").join(pivot, "p", "left")
         joins = joins.withColumn("hit", F.coalesce("hit", F.col("x") == F.col("q"), F.lit(False)))
         # components of this region that the new pivot joins to its own
-        reached = joins.where("hit").select("p", "comp", "active").distinct()
+        reached = packed(step(joins.where("hit").select("p", "comp", "active").distinct()))
         both = reached.groupBy("p").agg(F.min("active").alias("all_active")).where("not all_active").select("p", F.lit(True).alias("joined"))
         done = reached.where("active").join(both, "p").select("p", "comp", "joined")
         large = large.join(done, ["p", "comp"], "left").select("p", "x", "d", "comp", (F.col("active") & F.col("joined").isNull()).alias("active"))
-        large = materialize(large)
-    return comp, materialize(found.union(block_links(large, texts, k, percent)))
+        large = packed(step(large))
+    return comp, packed(step(found.union(block_links(large, texts, k, percent))))
 
 
 def _pivots(large: DataFrame) -> DataFrame:
@@ -415,7 +416,7 @@ def _pivots(large: DataFrame) -> DataFrame:
     members of a region together.
     """
     degree = large.groupBy("node").agg(F.count("*").alias("deg"))
-    ranked = materialize(large.join(degree, "node").select("s", "node", F.struct("deg", "node").alias("rank")))
+    ranked = step(large.join(degree, "node").select("s", "node", F.struct("deg", "node").alias("rank")))
     own = ranked.groupBy("s").agg(F.max("rank").alias("top"))
     best = ranked.join(own, "s").groupBy("node").agg(F.max("top").alias("top"))
     shared = large.join(best, "node").groupBy("s").agg(F.max("top").alias("top"))
@@ -449,11 +450,11 @@ def similar_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT
     """
     spark = docs.sparkSession
     ship_package(spark)
-    base = materialize(nodes(docs, k))
+    base = step(nodes(docs, k))
     first, found = links(docs, base, k, percent)
     for end in ("u", "v"):  # the rest of the links, between components
         found = found.join(first.toDF(end, "c"), end, "left").withColumn(end, F.coalesce("c", end)).drop("c")
-    last = components(found.select("u", "v")).toDF("comp", "last")
+    last = packed(step(components(found.select("u", "v")))).toDF("comp", "last")
     classes = base.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("low"), F.count("*").alias("class_size"))
     named = classes.join(first, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     named = named.join(last, "comp", "left").withColumn("comp", F.coalesce("last", "comp")).drop("last")

@@ -13,6 +13,7 @@ import tempfile
 import zipfile
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 # Options every operator relies on; all are runtime SQL options.
 SQL_OPTIONS = {
@@ -113,3 +114,35 @@ def materialize(df, enabled: bool = True):
         return df
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+#: Spark removes the shuffle files of an action when it ends.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Narrow tables of at most this many rows are small.
+SMALL_ROWS = 1 << 16
+
+
+def step(df):
+    """``materialize`` for jobs of many rounds: the shuffle files that lead to the
+    result go once it is written. Spark else keeps those of all rounds until the
+    driver happens to collect its garbage."""
+    conf = df.sparkSession.conf
+    before = conf.get(FREE_SHUFFLES, None)
+    conf.set(FREE_SHUFFLES, "true")
+    try:
+        return materialize(df.select("*"))  # a plan of its own, whose exchanges nothing else reads
+    finally:
+        conf.unset(FREE_SHUFFLES) if before is None else conf.set(FREE_SHUFFLES, before)
+
+
+def packed(df, rows: int | None = None):
+    """A materialized ``df`` of narrow rows; a small one in one partition, to be
+    broadcast in joins.
+
+    Out of an exchange it has a partition for each shuffle partition, and Spark's
+    estimate of its size grows with each join before it; so every further join would
+    deal a few rows over all of them. Larger tables stay as they are. ``rows``:
+    their number, if known.
+    """
+    rows = df.count() if rows is None else rows
+    return F.broadcast(df.coalesce(1)) if rows <= SMALL_ROWS else df

@@ -5,13 +5,16 @@ import hashlib
 import itertools
 import random
 import re
+import time
 import tracemalloc
 from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
+from surgecast import session
 from surgecast.llm import components, decontaminate, jaccard_join, line_dedup, topk_search, words
 
 
@@ -119,6 +122,70 @@ def test_components(spark):
     assert got == {**{i: 0 for i in range(31)}, 100: 100, 101: 100, 200: 100, 50: 50, 60: 50}
 
 
+@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("small", [0, session.SMALL_ROWS])
+def test_components_of_random_edges(spark, monkeypatch, seed, small):
+    monkeypatch.setattr(session, "SMALL_ROWS", small)
+    monkeypatch.setattr(components, "SMALL_ROWS", small)
+    rng = random.Random(seed)
+    edges = [(rng.randrange(-60, 60), rng.randrange(-60, 60)) for _ in range(40 + 15 * seed)] + [(None, 3), (4, None), (None, None)]
+    got = sorted(map(tuple, components.components(spark.createDataFrame(edges, "a long, b long")).collect()))
+    low = {x: x for e in edges if None not in e and e[0] != e[1] for x in e}
+    for _ in low:
+        for a, b in edges:
+            if a in low and b in low:
+                low[a] = low[b] = min(low[a], low[b])
+    assert got == sorted(low.items())
+
+
+@pytest.mark.parametrize("small", [0, session.SMALL_ROWS])
+def test_similar_components_by_few_and_by_many_rows(spark, monkeypatch, small):
+    monkeypatch.setattr(session, "SMALL_ROWS", small)
+    monkeypatch.setattr(components, "SMALL_ROWS", small)
+    monkeypatch.setattr(jaccard_join, "LARGE", 4)
+    rng = random.Random(8)
+    rows = [(i // 2 if i % 9 else None, t) for i, t in enumerate([*near_copies(rng, 3, 12), None, "", "one", "One"])]
+    got = jaccard_join.similar_components(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted(map(tuple, got), key=str) == expected_components(rows)
+
+
+def test_rounds_on_few_edges_dont_take_a_task_for_each_shuffle_partition(spark):
+    """Else a hundred exchanges of a few rows leave tens of thousands of tiny files and records of tasks."""
+    sc, partitions = spark.sparkContext, 40
+    held = {"spark.sql.shuffle.partitions": str(partitions), "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in held}
+    sc.setJobGroup("rounds", "components of few edges")
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        got = dict(map(tuple, components.components(spark.createDataFrame([(i, i + 1) for i in range(30)], "a long, b long")).collect()))
+        tracker = sc.statusTracker()
+        stages = {s for j in tracker.getJobIdsForGroup("rounds") for s in tracker.getJobInfo(j).stageIds}
+        tasks = sum(i.numTasks for i in map(tracker.getStageInfo, stages) if i)
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == dict.fromkeys(range(31), 0)
+    assert tasks < 8 * partitions, tasks
+
+
+def test_steps_leave_no_shuffle_files(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: {f for f in disk.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in f}
+    before = files()
+    option = spark.conf.get(session.FREE_SHUFFLES, None)
+    df = spark.range(1000).repartition(7, "id").groupBy((F.col("id") % 10).alias("k")).count()
+    out = session.step(df)
+    for _ in range(40):
+        if not files() - before:
+            break
+        time.sleep(0.25)
+    assert not files() - before
+    assert spark.conf.get(session.FREE_SHUFFLES, None) == option
+    assert sorted(map(tuple, out.collect())) == [(k, 100) for k in range(10)]
+
+
 WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
